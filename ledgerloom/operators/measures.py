@@ -96,9 +96,10 @@ class Model:
             if not k:
                 out = out.join(F.broadcast(g))  # one row
             else:
-                on = reduce(lambda a, b: a & b, (out[c].eqNullSafe(g[c]) for c in k))
-                rest = [out[c] for c in out.columns if c not in k]
-                out = out.join(g, on, "full").select(*[F.coalesce(out[c], g[c]).alias(c) for c in k], *rest, *[g[c] for c in g.columns if c not in k])
+                g = g.withColumnsRenamed({c: f"_{c}" for c in k})
+                on = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in k))
+                both = out.join(g, on, "full")
+                out = both.select(*[F.coalesce(c, f"_{c}").alias(c) for c in k], *[c for c in both.columns if c not in k and c not in [f"_{x}" for x in k]])
         for m in used:
             if m.post is not None:
                 out = out.withColumn(m.name, m.post)
