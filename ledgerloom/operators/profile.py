@@ -73,8 +73,10 @@ class Profile:
     """The profile of the named columns of ``rows``, by the load that ``load`` names."""
 
     def __init__(self, rows: DataFrame, table: str, load: str, columns: list[str]):
-        self.rows, self.table, self.load = rows.filter(F.col(load).isNotNull()), table, load
+        self.table, self.load = table, "load of the row"  # a name no alias below can clash with
         self.fields = [rows.schema[c] for c in columns]
+        named = [F.col(f"`{c}`") for c in columns if c != load]
+        self.rows = rows.select(F.col(f"`{load}`").cast("string").alias(self.load), *named).filter(F.col(f"`{self.load}`").isNotNull())
         asked = []
         for i, f in enumerate(self.fields):
             asked.append(F.hll_sketch_estimate(F.hll_sketch_agg(_text(f), 12)).alias(f"d{i}"))
@@ -95,7 +97,7 @@ class Profile:
             aggs += [F.count(t).alias(f"c{i}"), F.hll_sketch_estimate(F.hll_sketch_agg(t, 12)).alias(f"d{i}"), F.min(t).alias(f"a{i}"), F.max(t).alias(f"z{i}")]
             if x is not None:
                 aggs += [F.percentile_approx(x, [0.05, 0.5, 0.95], 1000).alias(f"q{i}"), F.min(x).alias(f"l{i}"), F.max(x).alias(f"h{i}")]
-        wide = self.rows.groupBy(self.load).agg(*aggs)
+        wide = self.rows.groupBy(f"`{self.load}`").agg(*aggs)
         cells = []
         for i, f in enumerate(self.fields):
             num = _number(f) is not None
@@ -107,7 +109,7 @@ class Profile:
                     (F.col(f"l{i}").cast("string") if num else F.col(f"a{i}")).alias("least"), (F.col(f"h{i}").cast("string") if num else F.col(f"z{i}")).alias("greatest"),
                 )
             )
-        out = wide.select(F.lit(self.table).alias("table_name"), F.col(self.load).cast("string").alias("batch_id"), F.col("n").alias("row_count"), F.explode(F.array(*cells)).alias("c"))
+        out = wide.select(F.lit(self.table).alias("table_name"), F.col(f"`{self.load}`").alias("batch_id"), F.col("n").alias("row_count"), F.explode(F.array(*cells)).alias("c"))
         return cut(out.select("table_name", "c.column_name", "batch_id", "row_count", *[f"c.{c}" for c in ("nulls", "distinct_values", "low", "middle", "high", "least", "greatest")]))
 
     @cached_property
@@ -125,7 +127,7 @@ class Profile:
                 above = reduce(lambda a, b: a + b, [(x >= e).cast("int") for e in self.edges[f.name]])
                 each.append((f.name, "value" if not self.few[f.name] else "decile", above.cast("string")))
         rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("kind"), v.alias("cell")) for c, k, v in each])
-        long = self.rows.select(F.col(self.load).cast("string").alias("batch_id"), F.explode(rows).alias("c")).select("batch_id", "c.*")
+        long = self.rows.select(F.col(f"`{self.load}`").alias("batch_id"), F.explode(rows).alias("c")).select("batch_id", "c.*")
         return cut(long.filter("cell is not null").groupBy("column_name", "batch_id", "kind", "cell").agg(F.count("*").alias("n")))
 
     def divergence(self) -> DataFrame:
