@@ -29,6 +29,8 @@ from ledgerloom.llm.tokens import DEFAULT_RANKS, count_tokens
 from ledgerloom.runtime import cut
 
 ROWS_PER_BUCKET = 20_000
+#: Bounds the one range partition whose running sum finds the cut.
+ROWS_PER_PART = 500_000
 #: Targets are held by the driver and broadcast.
 MAX_TARGETS = 100_000
 
@@ -102,7 +104,7 @@ def schedule(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = No
     copies = sum(r.n * p for r, p in zip(held, passes, strict=True))
     line = cut(queued(sizes, plan, copies, seed))
     order = ["finish", "source", "doc_id", "pass"]
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(copies / ROWS_PER_PART))
     line = cut(line.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()))
     spent, last, base = 0, parts, 0
     for r in line.groupBy("part").agg(F.sum("tokens").alias("tokens")).orderBy("part").collect():  # one row a partition
