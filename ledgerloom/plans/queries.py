@@ -706,3 +706,68 @@ def p5_changes(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def p5_masks(spark: SparkSession, d: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [p.masks() for p in _profiles(spark, d)])
+
+
+# --- facts and dimensions put together from the operators ----------------------------------------
+
+_BLANK = "nullif(regexp_replace({}, '^ +| +$', '', 'g'), '')"
+
+
+@query(f"""WITH named AS (SELECT code_key, cost_code, cost_code_name FROM (SELECT {_CODE_ID} AS code_key, {_BLANK.format('cost_code')} AS cost_code, {_BLANK.format('cost_code_name')} AS cost_code_name,
+  row_number() OVER (PARTITION BY {_CODE_ID} ORDER BY CASE WHEN {_BLANK.format('cost_code_name')} IS NULL THEN 1 ELSE 0 END, {_BLANK.format('cost_code_name')}, {_BLANK.format('cost_code')} NULLS FIRST) AS rn FROM dl_silver_cost_codes) WHERE rn = 1 AND code_key IS NOT NULL),
+seen AS (SELECT DISTINCT cost_code_id AS code_key FROM dl_silver_budget_lines WHERE cost_code_id IS NOT NULL)
+SELECT code_key, coalesce(cost_code, 'Unknown') AS cost_code, coalesce(cost_code_name, cost_code, 'Unknown') AS cost_code_name, string_split_regex(coalesce(cost_code, 'Unknown'), '[-.]')[1] AS root_code FROM
+  (SELECT * FROM named UNION ALL SELECT code_key, NULL, NULL FROM seen WHERE code_key NOT IN (SELECT code_key FROM named))
+UNION ALL SELECT '0', 'Unknown', 'Unknown', 'Unknown'""")
+def dim_cost_code(spark: SparkSession, d: str) -> DataFrame:
+    """Declared codes, codes only seen in lines, and the row for unresolved keys."""
+    text = lambda c: F.nullif(F.trim(c), F.lit(""))
+    codes = table(spark, d, "dl_silver_cost_codes").select(_code_id("cost_code_id").alias("code_key"), text("cost_code").alias("cost_code"), text("cost_code_name").alias("cost_code_name"))
+    named = R.prefer_named(codes.filter("code_key is not null"), ["code_key"], "cost_code_name", ["cost_code_name", "cost_code"])
+    seen = table(spark, d, "dl_silver_budget_lines").select(F.col("cost_code_id").alias("code_key")).filter("code_key is not null").distinct()
+    rows = named.unionByName(seen.join(named.select("code_key"), "code_key", "left_anti"), allowMissingColumns=True)
+    code = F.coalesce("cost_code", F.lit("Unknown"))
+    rows = rows.select("code_key", code.alias("cost_code"), F.coalesce("cost_code_name", "cost_code", F.lit("Unknown")).alias("cost_code_name"), F.split(code, "[-.]")[0].alias("root_code"))
+    return R.with_unknown(rows, {"code_key": "0", "cost_code": "Unknown", "cost_code_name": "Unknown", "root_code": "Unknown"})
+
+
+@query("""SELECT 'lines|' || l_orderkey || '|' || l_linenumber || '|' || l_partkey AS cost_key, 'lines' AS source, o_custkey AS project_key, CASE WHEN CAST(l_shipdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' THEN CAST(date_trunc('month', l_shipdate) AS DATE) END AS month_start, l_extendedprice AS amount, l_suppkey AS vendor
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey AND o_orderstatus <> 'P'
+UNION ALL SELECT 'orders|' || o_orderkey, 'orders', o_custkey, CASE WHEN CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' THEN CAST(date_trunc('month', o_orderdate) AS DATE) END, o_totalprice, NULL FROM orders WHERE o_orderstatus = 'P'""")
+def fct_cost_transaction(spark: SparkSession, d: str) -> DataFrame:
+    """Costs of two systems under one layout; lines that no project claims keep a null key."""
+    o = table(spark, d, "orders")
+    mapped = o.filter("o_orderstatus != 'P'").select("o_orderkey", F.col("o_custkey").alias("project_key"))
+    li = table(spark, d, "lineitem").join(mapped, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    month = lambda c: C.month_key(F.to_date(c), _LOW, _HIGH).alias("month_start")
+    a = li.select(F.concat_ws("|", F.lit("lines"), "l_orderkey", "l_linenumber", "l_partkey").alias("cost_key"), F.lit("lines").alias("source"), "project_key", month("l_shipdate"), F.col("l_extendedprice").alias("amount"), F.col("l_suppkey").alias("vendor"))
+    b = o.filter("o_orderstatus = 'P'").select(F.concat(F.lit("orders|"), "o_orderkey").alias("cost_key"), F.lit("orders").alias("source"), F.col("o_custkey").alias("project_key"), month("o_orderdate"), F.col("o_totalprice").alias("amount"), F.lit(None).cast("bigint").alias("vendor"))
+    return a.unionByName(b)
+
+
+@query("""SELECT user_id AS worker, CAST(date_trunc('month', ts) AS DATE) AS month_start, count(*) AS entries, CAST(round(SUM(CAST(value AS DECIMAL(18,4))), 2) AS DOUBLE) AS hours,
+  coalesce(CAST(round(SUM(CASE WHEN upper(event_type) IN ('CLICK','PURCHASE') THEN CAST(value AS DECIMAL(18,4)) END), 2) AS DOUBLE), 0.0) AS billable FROM events GROUP BY 1, 2""")
+def fct_labour(spark: SparkSession, d: str) -> DataFrame:
+    value = F.col("value").cast("decimal(18,4)")
+    billable = F.sum(F.when(F.upper("event_type").isin("CLICK", "PURCHASE"), value))
+    return table(spark, d, "events").groupBy(F.col("user_id").alias("worker"), F.trunc("ts", "MM").alias("month_start")).agg(
+        F.count("*").alias("entries"), F.round(F.sum(value), 2).cast("double").alias("hours"), F.coalesce(F.round(billable, 2).cast("double"), F.lit(0.0)).alias("billable")
+    )
+
+
+_SNAP = "SELECT project_key, DATE '1999-12-01' AS month_start, contract FROM ({w}) UNION ALL SELECT project_key, DATE '2000-01-01', contract + 1 FROM ({w}) WHERE project_key % 2 = 0"
+
+
+@query(_SNAP.format(w=_WIP))
+def month_snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """Monthly states kept by an upsert on project and month: a rerun of a month replaces it, other months stay."""
+    state = lambda m, x: _wip(spark, d).select("project_key", F.lit(m).alias("month_start"), (F.col("contract") + x).alias("contract"))
+    kept = state(date(1999, 12, 1), 0).unionByName(state(date(2000, 1, 1), 0).filter("project_key % 2 = 0"))
+    return R.upsert(kept, state(date(2000, 1, 1), 1).filter("project_key % 2 = 0"), ["project_key", "month_start"], [F.desc("contract")])
+
+
+@query("SELECT n_regionkey AS sort_key, count(DISTINCT r_name) AS labels, count(DISTINCT r_name) = 1 AS one_to_one FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1")
+def sort_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Whether a column to sort by stands for one label each."""
+    rows = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return rows.groupBy(F.col("n_regionkey").alias("sort_key")).agg(F.count_distinct("r_name").alias("labels"), (F.min("r_name") == F.max("r_name")).alias("one_to_one"))
