@@ -407,21 +407,21 @@ _STAGES = [("1-URGENT", 0.9), ("2-HIGH", 0.6), ("3-MEDIUM", 0.4)]
 _SQL_STAGES = "stages(stage, p) AS (VALUES ('1-URGENT', 0.9::DOUBLE), ('2-HIGH', 0.6::DOUBLE), ('3-MEDIUM', 0.4::DOUBLE))"
 
 
-@query(f"WITH {_SQL_STAGES} SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 7 = 0 THEN 0.75 END, p, 0.0)::DOUBLE AS probability, CAST(round(CAST(o_totalprice AS DECIMAL(18,4)) * CAST(coalesce(CASE WHEN o_orderkey % 7 = 0 THEN 0.75 END, p, 0.0) AS DECIMAL(4,2)), 2) AS DOUBLE) AS weighted FROM orders LEFT JOIN stages ON o_orderpriority = stage")
+@query(f"WITH {_SQL_STAGES} SELECT o_orderkey, coalesce(CASE WHEN o_orderstatus = 'P' THEN 0.75 END, p, 0.0)::DOUBLE AS probability, CAST(round(CAST(o_totalprice AS DECIMAL(18,4)) * CAST(coalesce(CASE WHEN o_orderstatus = 'P' THEN 0.75 END, p, 0.0) AS DECIMAL(4,2)), 2) AS DOUBLE) AS weighted FROM orders LEFT JOIN stages ON o_orderpriority = stage")
 def weighted_pipeline(spark: SparkSession, d: str) -> DataFrame:
     stages = spark.createDataFrame(_STAGES, "stage string, p double")
-    own = F.when(F.col("o_orderkey") % 7 == 0, F.lit(0.75))
+    own = F.when(F.col("o_orderstatus") == "P", F.lit(0.75))
     rows = table(spark, d, "orders").join(F.broadcast(stages), F.col("o_orderpriority") == F.col("stage"), "left").withColumn("probability", F.coalesce(own, "p", F.lit(0.0)))
     return rows.select("o_orderkey", "probability", F.round(F.col("o_totalprice").cast("decimal(18,4)") * F.col("probability").cast("decimal(4,2)"), 2).cast("double").alias("weighted"))
 
 
-@query("""WITH src AS (SELECT CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE c_custkey END AS k, max(c_name) || '*' AS name FROM customer WHERE c_custkey % 5 = 0 GROUP BY 1),
-tgt AS (SELECT CASE WHEN c_custkey = 7 THEN NULL ELSE c_custkey END AS k, c_name AS name FROM customer WHERE c_custkey % 2 = 1 OR c_custkey % 10 = 0)
+@query("""WITH src AS (SELECT CASE WHEN c_acctbal >= 0 THEN c_custkey END AS k, max(c_name) || '*' AS name FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY 1),
+tgt AS (SELECT CASE WHEN c_nationkey <> 0 THEN c_custkey END AS k, c_name AS name FROM customer)
 SELECT tgt.k, tgt.name FROM tgt WHERE NOT EXISTS (SELECT 1 FROM src WHERE src.k IS NOT DISTINCT FROM tgt.k) UNION ALL SELECT k, name FROM src""")
 def null_safe_merge(spark: SparkSession, d: str) -> DataFrame:
     c, k = table(spark, d, "customer"), F.col("c_custkey")
-    src = c.filter(k % 5 == 0).select(F.when(k % 50 != 0, k).alias("k"), F.concat("c_name", F.lit("*")).alias("name"))
-    tgt = c.filter((k % 2 == 1) | (k % 10 == 0)).select(F.when(k != 7, k).alias("k"), F.col("c_name").alias("name"))
+    src = c.filter("c_mktsegment = 'BUILDING'").select(F.when(F.col("c_acctbal") >= 0, k).alias("k"), F.concat("c_name", F.lit("*")).alias("name"))
+    tgt = c.select(F.when(F.col("c_nationkey") != 0, k).alias("k"), F.col("c_name").alias("name"))
     return R.upsert(tgt, src, ["k"], [F.desc("name")])
 
 
@@ -755,15 +755,17 @@ def fct_labour(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-_SNAP = "SELECT project_key, DATE '1999-12-01' AS month_start, contract FROM ({w}) UNION ALL SELECT project_key, DATE '2000-01-01', contract + 1 FROM ({w}) WHERE project_key % 2 = 0"
+_SNAP = "SELECT project_key, DATE '1999-12-01' AS month_start, contract FROM ({w}) UNION ALL SELECT project_key, DATE '2000-01-01', contract + 1 FROM ({w}) WHERE billed > contract"
 
 
 @query(_SNAP.format(w=_WIP))
 def month_snapshots(spark: SparkSession, d: str) -> DataFrame:
     """Monthly states kept by an upsert on project and month: a rerun of a month replaces it, other months stay."""
-    state = lambda m, x: _wip(spark, d).select("project_key", F.lit(m).alias("month_start"), (F.col("contract") + x).alias("contract"))
-    kept = state(date(1999, 12, 1), 0).unionByName(state(date(2000, 1, 1), 0).filter("project_key % 2 = 0"))
-    return R.upsert(kept, state(date(2000, 1, 1), 1).filter("project_key % 2 = 0"), ["project_key", "month_start"], [F.desc("contract")])
+    wip = _wip(spark, d)
+    open_ = wip.filter("billed > contract")
+    state = lambda rows, m, x: rows.select("project_key", F.lit(m).alias("month_start"), (F.col("contract") + x).alias("contract"))
+    kept = state(wip, date(1999, 12, 1), 0).unionByName(state(open_, date(2000, 1, 1), 0))
+    return R.upsert(kept, state(open_, date(2000, 1, 1), 1), ["project_key", "month_start"], [F.desc("contract")])
 
 
 @query("SELECT n_regionkey AS sort_key, count(DISTINCT r_name) AS labels, count(DISTINCT r_name) = 1 AS one_to_one FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1")
