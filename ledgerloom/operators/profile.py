@@ -2,16 +2,18 @@
 
 Values are generalised to character-class masks (runs of capitals, runs of small letters, digits,
 everything else as it is), the dominant masks of each column are mined from all loads, and each load
-is compared with the rest of the table: the share of values whose mask is rare elsewhere, the
-distance of its mask distribution and of its value distribution from those of the other loads, and
-its null rate, distinct rate and range.
+is compared with the rest of the table: the share of values that are, or whose mask is, rare elsewhere,
+the distance of its mask, value and decile distributions from those of the other loads, the share of
+its commonest value, and its null rate, distinct rate and range. Every column is compared value by
+value, however many values it has; what a load's size alone does to its distance and distinct rate
+is worked out from the table's frequencies and taken off.
 
 Three passes with map-side combine: one for the table (a row for the driver, as wide as the table
-has columns), one for each load and column, one for the (load, column, mask or value cell) counts. A
-load with a third of all rows shrinks to its cells before anything moves.
+has columns), one for each load and column, one for the (load, column, mask, value or decile cell)
+counts. A load with a third of all rows shrinks to its cells before anything moves.
 
 Defined results: rows without a load belong to none; a column null throughout has null measures and
-no masks; distinct counts are sketch estimates, exact for some hundreds of values; NaN counts as null; tables of
+no masks; distinct counts of ``loads`` are sketch estimates, those compared are exact; NaN counts as null; tables of
 fewer than MIN_LOADS loads report no changes; columns are profiled by position-free name, so a
 column that isn't named to be profiled can have any name; an empty table gives empty results.
 """
@@ -19,6 +21,7 @@ column that isn't named to be profiled can have any name; an empty table gives e
 from __future__ import annotations
 
 from functools import cached_property, reduce
+from math import pi
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +29,6 @@ from pyspark.sql import types as T
 
 from ledgerloom.runtime import cut
 
-#: A column of so few distinct values is compared value by value, others by mask and by decile.
-FEW_VALUES = 64
 MIN_LOADS = 5
 #: A mask with less than this share of a column's values is rare.
 RARE_SHARE = 0.01
@@ -79,12 +80,10 @@ class Profile:
         self.rows = rows.select(F.col(f"`{load}`").cast("string").alias(self.load), *named).filter(F.col(f"`{self.load}`").isNotNull())
         asked = []
         for i, f in enumerate(self.fields):
-            asked.append(F.hll_sketch_estimate(F.hll_sketch_agg(_text(f), 12)).alias(f"d{i}"))
             x = _number(f)
             if x is not None:
                 asked.append(F.percentile_approx(x, [k / 10 for k in range(1, 10)], 1000).alias(f"q{i}"))
-        whole = self.rows.agg(*asked).first().asDict() if self.fields else {}
-        self.few = {f.name: whole[f"d{i}"] <= FEW_VALUES for i, f in enumerate(self.fields)}
+        whole = self.rows.agg(*asked).first().asDict() if asked else {}
         self.edges = {f.name: sorted(set(whole.get(f"q{i}") or [])) for i, f in enumerate(self.fields)}
 
     @cached_property
@@ -115,24 +114,26 @@ class Profile:
     @cached_property
     def cells(self) -> DataFrame:
         """(column_name, batch_id, kind, cell, n): how many values of a load have a mask, and how many
-        fall on a value (columns of few values) or between two deciles (numbers and dates)."""
+        fall on a value or between two deciles (numbers and dates). Long values go by their digest."""
         each = []
         for f in self.fields:
             t, x = _text(f), _number(f)
             if x is None and not isinstance(f.dataType, T.BooleanType) or isinstance(f.dataType, T.IntegralType):
                 each.append((f.name, "mask", mask(t)))
-            if self.few[f.name]:
-                each.append((f.name, "value", t))
+            each.append((f.name, "value", F.when(F.length(t) > 64, F.sha2(t, 256)).otherwise(t)))
             if x is not None and self.edges[f.name]:
                 above = reduce(lambda a, b: a + b, [(x >= e).cast("int") for e in self.edges[f.name]])
-                each.append((f.name, "value" if not self.few[f.name] else "decile", above.cast("string")))
+                each.append((f.name, "decile", above.cast("string")))
         rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("kind"), v.alias("cell")) for c, k, v in each])
         long = self.rows.select(F.col(f"`{self.load}`").alias("batch_id"), F.explode(rows).alias("c")).select("batch_id", "c.*")
         return cut(long.filter("cell is not null").groupBy("column_name", "batch_id", "kind", "cell").agg(F.count("*").alias("n")))
 
     def divergence(self) -> DataFrame:
-        """(column_name, batch_id, kind, distance, rare): total variation distance of the load's cells
-        from those of all other loads, and the share of its values in cells that are rare there."""
+        """(column_name, batch_id, kind, own, distance, rare, top, cells, chance_distance, chance_cells):
+        the load's values, total variation distance of its cells from those of all other loads, share
+        of its values in cells that are rare there, share of its commonest cell and number of cells;
+        and the distance and number of cells that a load of its size has when its values are drawn
+        from the table's by chance."""
         cells = self.cells
         pool = cells.groupBy("column_name", "kind", "cell").agg(F.sum("n").alias("pool"))
         own = cells.groupBy("column_name", "batch_id", "kind").agg(F.sum("n").alias("own"))
@@ -140,10 +141,27 @@ class Profile:
         x = cells.join(pool, ["column_name", "kind", "cell"]).join(own, ["column_name", "batch_id", "kind"]).join(whole, ["column_name", "kind"])
         here = F.col("n") / F.col("own")
         there = F.when(F.col("whole") > F.col("own"), (F.col("pool") - F.col("n")) / (F.col("whole") - F.col("own"))).otherwise(here)
-        return x.groupBy("column_name", "batch_id", "kind").agg(
+        x = x.groupBy("column_name", "batch_id", "kind").agg(
+            F.first("own").alias("own"), F.first("whole").alias("whole"),
             F.sum(F.greatest(here - there, F.lit(0.0))).alias("distance"),  # half the absolute differences
             F.sum(F.when(there < RARE_SHARE, here).otherwise(0.0)).alias("rare"),
-        )
+            F.max(here).alias("top"), F.count("*").alias("cells"),
+        )
+        # how many cells occur how often, four steps to a doubling: some hundred numbers per column
+        often = pool.groupBy("column_name", "kind", F.floor(F.log2("pool") * 4).alias("step")).agg(F.count("*").alias("c"), F.avg("pool").alias("f"))
+        often = often.groupBy("column_name", "kind").agg(F.collect_list(F.struct(F.col("c").cast("double").alias("c"), "f")).alias("often"))
+        part = F.col("own") / F.col("whole")
+
+        def scatter(f: Column) -> Column:
+            """Mean absolute deviation of a binomial count of f tries; exact near its ends."""
+            return F.when(f * part < 1, 2 * f * part * (1 - part) ** f).when(f * (1 - part) < 1, 2 * f * (1 - part) * part**f).otherwise(F.sqrt(f * part * (1 - part) * (2 / pi)))
+
+        add = lambda value: F.aggregate("often", F.lit(0.0), lambda sum_, o: sum_ + o["c"] * value(o["f"]))
+        apart = F.when(F.col("whole") > F.col("own"), F.col("whole") / (2 * F.col("own") * (F.col("whole") - F.col("own")))).otherwise(0.0)
+        return x.join(often, ["column_name", "kind"]).select(
+            "column_name", "batch_id", "kind", "own", "distance", "rare", "top", "cells",
+            F.least(F.lit(1.0), add(scatter) * apart).alias("chance_distance"), add(lambda f: 1 - (1 - part) ** f).alias("chance_cells"),
+        )
 
     def masks(self) -> DataFrame:
         """(table_name, column_name, mask, values, share, dominant) of every mask of every column."""
@@ -154,41 +172,46 @@ class Profile:
         return pool.join(whole, "column_name").select(F.lit(self.table).alias("table_name"), "column_name", "mask", "values", share.alias("share"), (share >= RARE_SHARE).alias("dominant"))
 
     def measures(self) -> DataFrame:
-        """(table_name, column_name, batch_id, measure, value, n, unit) in long form."""
+        """(table_name, column_name, batch_id, measure, value, chance, n, unit) in long form; chance is
+        the part of the value that the load's size alone accounts for."""
         loads = self.loads
-        filled = F.col("row_count") - F.col("nulls")
         signed = lambda c: F.signum(c) * F.log10(1 + F.abs(c))
-        few = F.col("column_name").isin(*[c for c, few in self.few.items() if few] or [""])
+        one = lambda name, value, unit, chance=0.0: F.struct(
+            F.lit(name).alias("measure") if isinstance(name, str) else name.alias("measure"), value.alias("value"), (F.lit(chance) if isinstance(chance, float) else chance).alias("chance"), F.lit(unit).alias("unit")
+        )
+        kinds = F.array(
+            one("nulls", F.col("nulls") / F.col("row_count"), SHIFT),
+            one("low", signed(F.col("low")), RANGE_SHIFT),
+            one("high", signed(F.col("high")), RANGE_SHIFT),
+        )
+        a = loads.select("table_name", "column_name", "batch_id", F.col("row_count").alias("n"), F.explode(kinds).alias("m"))
+        by_value = lambda c: F.when(F.col("kind") == "value", c)
         kinds = F.array(
-            F.struct(F.lit("nulls").alias("measure"), (F.col("nulls") / F.col("row_count")).alias("value"), F.col("row_count").alias("n"), F.lit(SHIFT).alias("unit")),
-            F.struct(F.lit("distinct").alias("measure"), F.when((filled >= 10) & ~few, F.least(F.lit(1.0), F.col("distinct_values") / filled)).alias("value"), filled.alias("n"), F.lit(SHIFT).alias("unit")),
-            F.struct(F.lit("low").alias("measure"), signed(F.col("low")).alias("value"), filled.alias("n"), F.lit(RANGE_SHIFT).alias("unit")),
-            F.struct(F.lit("high").alias("measure"), signed(F.col("high")).alias("value"), filled.alias("n"), F.lit(RANGE_SHIFT).alias("unit")),
+            one(F.concat("kind", F.lit(" distribution")), F.col("distance"), SHIFT, F.col("chance_distance")),
+            one(F.concat("kind", F.lit(" rarity")), F.col("rare"), SHIFT),
+            one("commonest", by_value(F.col("top")), SHIFT),
+            one("distinct", by_value(F.col("cells") / F.col("own")), SHIFT, F.col("chance_cells") / F.col("own")),
         )
-        a = loads.select("table_name", "column_name", "batch_id", F.explode(kinds).alias("m")).select("table_name", "column_name", "batch_id", "m.*")
-        b = self.divergence().join(loads.select("column_name", "batch_id", filled.alias("n")), ["column_name", "batch_id"])
-        b = b.filter("n >= 10").select(
-            F.lit(self.table).alias("table_name"), "column_name", "batch_id",
-            F.explode(F.array(
-                F.struct(F.concat("kind", F.lit(" distribution")).alias("measure"), F.col("distance").alias("value")),
-                F.struct(F.concat("kind", F.lit(" rarity")).alias("measure"), F.col("rare").alias("value")),
-            )).alias("m"), "n",
-        ).select("table_name", "column_name", "batch_id", "m.*", "n", F.lit(SHIFT).alias("unit"))
-        return a.filter("value is not null").unionByName(b)
+        b = self.divergence().filter("own >= 10").select(F.lit(self.table).alias("table_name"), "column_name", "batch_id", F.col("own").alias("n"), F.explode(kinds).alias("m"))
+        return a.unionByName(b).select("table_name", "column_name", "batch_id", "m.*", "n").filter("value is not null")
 
     def changes(self) -> DataFrame:
         """(table_name, column_name, batch_id, measure, value, usual, sigmas): measures of a load that
         lie far outside what the table's other loads show."""
-        m = cut(self.measures())  # a few rows for each load and column
+        m = cut(self.measures().withColumn("net", F.col("value") - F.col("chance")))  # a few rows for each load and column
         key = ["table_name", "column_name", "measure"]
-        middle = m.groupBy(*key).agg(F.percentile_approx("value", 0.5, 1000).alias("usual"), F.count("*").alias("loads"))
-        near = m.join(middle, key).withColumn("off", F.abs(F.col("value") - F.col("usual")))
+        middle = m.groupBy(*key).agg(F.percentile_approx("net", 0.5, 1000).alias("usual"), F.count("*").alias("loads"), F.sum("n").alias("whole"))
+        near = m.join(middle, key).withColumn("off", F.abs(F.col("net") - F.col("usual"))).withColumn("usual", F.col("usual") + F.col("chance"))
         spread = near.groupBy(*key).agg(F.percentile_approx("off", 0.5, 1000).alias("spread"))
         near = near.join(spread, key)
-        # never finer than the chance scatter of a share among the load's own values
-        chance = F.when(F.col("unit") == SHIFT, F.sqrt(F.greatest(F.col("usual") * (1 - F.col("usual")), F.lit(0.01)) / F.greatest("n", F.lit(1))))
-        scale = F.greatest(1.4826 * F.col("spread"), F.coalesce(chance, F.lit(0.02)))
-        out = near.withColumn("sigmas", F.col("off") / scale).filter(
+        # for shares never more than what tells the load's own values from a draw of the usual share
+        least = 1 / (F.col("whole") + 2)
+        u = F.greatest(least, F.least(1 - least, F.col("usual")))
+        x = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("value")))
+        part = lambda p, q: F.when(p > 0, p * F.ln(p / q)).otherwise(0.0)
+        drawn = F.when(F.col("unit") == SHIFT, F.sqrt(2 * F.col("n") * F.greatest(F.lit(0.0), part(x, u) + part(1 - x, 1 - u))))
+        robust = F.col("off") / F.greatest(1.4826 * F.col("spread"), F.when(F.col("unit") == SHIFT, 1e-6).otherwise(0.02))
+        out = near.withColumn("sigmas", F.least(robust, drawn)).filter(
             (F.col("loads") >= MIN_LOADS) & (F.col("off") >= F.col("unit")) & (F.col("sigmas") >= SIGMAS)
         )
         return out.select(*key[:2], "batch_id", "measure", "value", "usual", "sigmas")

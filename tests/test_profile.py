@@ -56,3 +56,17 @@ def test_masks(spark):
     cases = {"Big Old Mill": "Aa+", "23-1234567": "99-9+", "BIG MILL": "A+", "x9": "a9", "12.50": "9+", "": ""}
     df = spark.createDataFrame([(k,) for k in cases], "v string").select("v", mask(F.col("v")).alias("m"))
     assert {r.v: r.m for r in df.collect()} == cases
+
+
+def _counts(change, loads=30, size=45):
+    """One column of some 90 whole numbers, uneven as counts of failing rows are; change(i, k, n) gives row k of load i."""
+    r = random.Random(5)
+    draw = lambda: 0 if r.random() < 0.65 else 10 * r.randint(1, 5) if r.random() < 0.5 else r.randint(0, 90)
+    return [(f"L{i:02}", change(i, k, draw())) for i in range(loads) for k in range(size)]
+
+
+def test_columns_of_many_values_are_compared_value_by_value(spark):
+    found = lambda rows: {(r.column_name, r.batch_id) for r in changed_columns([Profile(spark.createDataFrame(rows, "load string, n long"), "t", "load", ["n"])]).collect()}
+    assert found(_counts(lambda i, k, n: n)) == set()
+    # 6 lies in the decile of 0 and has its mask
+    assert found(_counts(lambda i, k, n: 6 if i == 7 and n == 0 else n)) == {("n", "L07")}
