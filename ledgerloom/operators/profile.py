@@ -33,7 +33,9 @@ MIN_LOADS = 5
 #: A mask with less than this share of a column's values is rare.
 RARE_SHARE = 0.01
 #: A measure of a load is far outside when it lies SHIFT beyond the middle of all loads, as a share
-#: of the load's values (for ranges: in powers of ten), and SIGMAS robust deviations as well.
+#: of the load's values (for ranges: in powers of ten, for dates: in usual spans of a load from
+#: percentile 5 to 95), and SIGMAS robust deviations as well. Its least and greatest value are judged
+#: against the outermost of the other loads, beyond which they must lie as far.
 SHIFT = 0.2
 RANGE_SHIFT = 1.0
 SIGMAS = 5.0
@@ -175,14 +177,21 @@ class Profile:
         """(table_name, column_name, batch_id, measure, value, chance, n, unit) in long form; chance is
         the part of the value that the load's size alone accounts for."""
         loads = self.loads
-        signed = lambda c: F.signum(c) * F.log10(1 + F.abs(c))
+        dated = F.col("column_name").isin(*[f.name for f in self.fields if not isinstance(f.dataType, T.NumericType)] or [""])
+        spans = loads.groupBy("column_name").agg(F.percentile_approx(F.col("high") - F.col("low"), 0.5, 1000).alias("span"))
+        loads = loads.join(spans, "column_name")
+        # days in usual spans, numbers in powers of ten
+        scaled = lambda c: F.when(dated, F.col(c).try_cast("double") / F.greatest("span", F.lit(1.0))).otherwise(F.signum(F.col(c).try_cast("double")) * F.log10(1 + F.abs(F.col(c).try_cast("double"))))
+        ends = lambda c: F.when(F.col("low").isNotNull(), scaled(c))
         one = lambda name, value, unit, chance=0.0: F.struct(
             F.lit(name).alias("measure") if isinstance(name, str) else name.alias("measure"), value.alias("value"), (F.lit(chance) if isinstance(chance, float) else chance).alias("chance"), F.lit(unit).alias("unit")
         )
         kinds = F.array(
             one("nulls", F.col("nulls") / F.col("row_count"), SHIFT),
-            one("low", signed(F.col("low")), RANGE_SHIFT),
-            one("high", signed(F.col("high")), RANGE_SHIFT),
+            one("low", scaled("low"), RANGE_SHIFT),
+            one("high", scaled("high"), RANGE_SHIFT),
+            one("least", ends("least"), RANGE_SHIFT),
+            one("greatest", ends("greatest"), RANGE_SHIFT),
         )
         a = loads.select("table_name", "column_name", "batch_id", F.col("row_count").alias("n"), F.explode(kinds).alias("m"))
         by_value = lambda c: F.when(F.col("kind") == "value", c)
@@ -204,6 +213,13 @@ class Profile:
         near = m.join(middle, key).withColumn("off", F.abs(F.col("net") - F.col("usual"))).withColumn("usual", F.col("usual") + F.col("chance"))
         spread = near.groupBy(*key).agg(F.percentile_approx("off", 0.5, 1000).alias("spread"))
         near = near.join(spread, key)
+        # how far least and greatest lie beyond those of all other loads
+        out = F.when(F.col("measure") == "least", -F.col("value")).when(F.col("measure") == "greatest", F.col("value"))
+        first = near.withColumn("out", out).groupBy(*key).agg(F.max(F.struct("out", "batch_id")).alias("first"))
+        second = near.withColumn("out", out).join(first, key).filter("batch_id != first.batch_id").groupBy(*key).agg(F.max("out").alias("second"))
+        near = near.join(first, key).join(second, key, "left")
+        others = F.when(F.col("batch_id") == F.col("first.batch_id"), F.col("second")).otherwise(F.col("first.out"))
+        near = near.withColumn("off", F.when(out.isNotNull(), out - others).otherwise(F.col("off")))
         # for shares never more than what tells the load's own values from a draw of the usual share
         least = 1 / (F.col("whole") + 2)
         u = F.greatest(least, F.least(1 - least, F.col("usual")))

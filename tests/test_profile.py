@@ -70,3 +70,16 @@ def test_columns_of_many_values_are_compared_value_by_value(spark):
     assert found(_counts(lambda i, k, n: n)) == set()
     # 6 lies in the decile of 0 and has its mask
     assert found(_counts(lambda i, k, n: 6 if i == 7 and n == 0 else n)) == {("n", "L07")}
+
+
+def test_a_few_rows_out_of_range_are_found(spark):
+    def with_ends(column, value, per_load=2, load=5):
+        rows = [list(r) for r in _rows()]
+        for r in [r for r in rows if r[0] == f"L{load:02}"][:per_load]:
+            r[column] = value
+        return [tuple(r) for r in rows]
+
+    assert _found(spark, with_ends(1, 5e6)) == {("n", "L05")}
+    assert _found(spark, with_ends(1, -5e6)) == {("n", "L05")}
+    assert _found(spark, with_ends(4, date(2027, 1, 1))) == {("day", "L05")}
+    assert _found(spark, with_ends(4, date(2019, 1, 1))) == {("day", "L05")}
