@@ -14,7 +14,9 @@ counts. A load with a third of all rows shrinks to its cells before anything mov
 
 Defined results: rows without a load belong to none; a column null throughout has null measures and
 no masks; distinct counts of ``loads`` are sketch estimates, those compared are exact; NaN counts as null; tables of
-fewer than MIN_LOADS loads report no changes; columns are profiled by position-free name, so a
+two loads are judged one against the other, and both reported if they are far apart; a single load has nothing to
+stand outside of; loads of a few rows are judged by what chance allows, so one or two values that fit no other load
+are reported only if out of range; columns are profiled by position-free name, so a
 column that isn't named to be profiled can have any name; an empty table gives empty results.
 """
 
@@ -29,7 +31,6 @@ from pyspark.sql import types as T
 
 from ledgerloom.runtime import cut
 
-MIN_LOADS = 5
 #: A mask with less than this share of a column's values is rare.
 RARE_SHARE = 0.01
 #: A measure of a load is far outside when it lies SHIFT beyond the middle of all loads, as a share
@@ -201,7 +202,7 @@ class Profile:
             one("commonest", by_value(F.col("top")), SHIFT),
             one("distinct", by_value(F.col("cells") / F.col("own")), SHIFT, F.col("chance_cells") / F.col("own")),
         )
-        b = self.divergence().filter("own >= 10").select(F.lit(self.table).alias("table_name"), "column_name", "batch_id", F.col("own").alias("n"), F.explode(kinds).alias("m"))
+        b = self.divergence().select(F.lit(self.table).alias("table_name"), "column_name", "batch_id", F.col("own").alias("n"), F.explode(kinds).alias("m"))
         return a.unionByName(b).select("table_name", "column_name", "batch_id", "m.*", "n").filter("value is not null")
 
     def changes(self) -> DataFrame:
@@ -211,7 +212,13 @@ class Profile:
         key = ["table_name", "column_name", "measure"]
         middle = m.groupBy(*key).agg(F.percentile_approx("net", 0.5, 1000).alias("usual"), F.count("*").alias("loads"), F.sum("n").alias("whole"))
         near = m.join(middle, key).withColumn("off", F.abs(F.col("net") - F.col("usual"))).withColumn("usual", F.col("usual") + F.col("chance"))
-        spread = near.groupBy(*key).agg(F.percentile_approx("off", 0.5, 1000).alias("spread"))
+        # of two loads, each is judged by the other; both lie as far from each other as chance has it
+        pair = near.groupBy(*key).agg(F.sum("value").alias("both"))
+        near = near.join(pair, key)
+        apart = F.col("measure").endswith("distribution")
+        usual = F.when(F.col("loads") > 2, F.col("usual")).when(apart, F.col("chance")).otherwise(F.col("both") - F.col("value"))
+        near = near.withColumn("usual", usual).withColumn("off", F.when(F.col("loads") > 2, F.col("off")).otherwise(F.abs(F.col("value") - usual)))
+        spread = near.groupBy(*key).agg(F.when(F.first("loads") > 2, F.percentile_approx("off", 0.5, 1000)).otherwise(0.0).alias("spread"))
         near = near.join(spread, key)
         # how far least and greatest lie beyond those of all other loads
         out = F.when(F.col("measure") == "least", -F.col("value")).when(F.col("measure") == "greatest", F.col("value"))
@@ -228,7 +235,7 @@ class Profile:
         drawn = F.when(F.col("unit") == SHIFT, F.sqrt(2 * F.col("n") * F.greatest(F.lit(0.0), part(x, u) + part(1 - x, 1 - u))))
         robust = F.col("off") / F.greatest(1.4826 * F.col("spread"), F.when(F.col("unit") == SHIFT, 1e-6).otherwise(0.02))
         out = near.withColumn("sigmas", F.least(robust, drawn)).filter(
-            (F.col("loads") >= MIN_LOADS) & (F.col("off") >= F.col("unit")) & (F.col("sigmas") >= SIGMAS)
+            (F.col("loads") > 1) & (F.col("off") >= F.col("unit")) & (F.col("sigmas") >= SIGMAS)
         )
         return out.select(*key[:2], "batch_id", "measure", "value", "usual", "sigmas")
 

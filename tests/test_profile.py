@@ -83,3 +83,14 @@ def test_a_few_rows_out_of_range_are_found(spark):
     assert _found(spark, with_ends(1, -5e6)) == {("n", "L05")}
     assert _found(spark, with_ends(4, date(2027, 1, 1))) == {("day", "L05")}
     assert _found(spark, with_ends(4, date(2019, 1, 1))) == {("day", "L05")}
+
+
+def test_small_loads_and_few_loads(spark):
+    small = [*_rows(), *[("L99", 50.0, "10-100", "y", date(2024, 5, 1), 3, None)] * 1]
+    assert _found(spark, small) == set()
+    assert _found(spark, [*_rows(), *[("L99", 20.0 + i, f"2{i}-10{i}", "new", date(2024, 1 + i, 1), i % 6, "q") for i in range(7)]]) == {("kind", "L99")}
+    for loads in (3, 4):
+        rows = [(*r[:3], "z" if r[0] == "L01" else r[3], *r[4:]) for r in _rows(loads=loads)]
+        assert _found(spark, rows) == {("kind", "L01")}
+    assert _found(spark, _rows(loads=2)) == set()
+    assert _found(spark, [(*r[:3], "z" if r[0] == "L01" else r[3], *r[4:]) for r in _rows(loads=2)]) == {("kind", "L00"), ("kind", "L01")}
