@@ -31,7 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_vendors": lambda s, d: form_copies.vendor_records(*_vendors(s, d)),
         "p4_found": lambda s, d: survivor.latest_field_sources(*_p4(s, d)),
         "p4_budget_lines": lambda s, d: survivor.surviving_records(
-            survivor.budget_line_rows(_p4(s, d)[0], survivor.BUDGET_FIELDS), survivor.BUDGET_FIELDS
+            survivor.budget_line_rows(_p4(s, d)[0], survivor.BUDGET_FIELDS, every=True), survivor.BUDGET_FIELDS
         ),
         "p4_cost_codes": lambda s, d: survivor.surviving_records(
             survivor.cost_code_rows(_p4(s, d)[1], survivor.CODE_FIELDS), survivor.CODE_FIELDS
