@@ -167,12 +167,21 @@ def ties(flat: DataFrame, kinds: dict[str, tuple[str, str]]) -> DataFrame:
     return out.filter("kind is not null and parent_id is not null and child_id is not null").distinct()
 
 
+# A customer's record lies below its parent's, which is the record its parentref names.
+CUSTOMER_TIES = {"customer": ("customer", "")}
+
+
+def flatten_customers(customers: DataFrame, members: list[str] | None = None) -> DataFrame:
+    """``flatten`` of dl_silver_qbo_customers: every row becomes a record of its parentref, with the
+    reference's value as id, that holds the customer with its id and the named members."""
+    own = F.struct(F.col("qbo_customer_id").alias("id"), *(members or []))
+    record = F.to_json(F.struct(F.col("parentref.value").alias("id"), F.col("parentref.name").alias("name"), own.alias("customer")))
+    return flatten(customers.select(F.col("qbo_customer_id").alias("_key"), record.alias("payload")), "_key", "payload", wrappers=())
+
+
 def customer_ties(customers: DataFrame) -> DataFrame:
     """(kind, parent_id, child_id) of dl_silver_qbo_customers, whose parentref is a record in a record."""
-    out = customers.select(
-        F.lit("customer").alias("kind"), F.trim("parentref.value").alias("parent_id"), F.trim("qbo_customer_id").alias("child_id")
-    )
-    return out.filter("parent_id != '' and child_id != ''").distinct()
+    return ties(flatten_customers(customers), CUSTOMER_TIES)
 
 
 def parent_child_ties(budget_rows: DataFrame, customers: DataFrame) -> DataFrame:

@@ -75,3 +75,11 @@ def test_customer_ties(spark):
     rows = spark.createDataFrame([("2", (" 1 ", "n")), ("2", ("1", "m")), ("3", None), ("4", ("", None)), (None, ("1", None))], "qbo_customer_id string, parentref struct<value:string,name:string>")
     rows = rows.withColumn("kind", F.lit("extra"))
     assert [tuple(r) for r in nested.customer_ties(rows).collect()] == [("customer", "1", "2")]
+
+
+def test_customers_go_through_flatten(spark):
+    rows = spark.createDataFrame([("2", (" 1 ", "n")), ("3", None)], "qbo_customer_id string, parentref struct<value:string,name:string>")
+    flat = nested.flatten_customers(rows)
+    assert {(r.record_key, r.table, r.parent_key, r.id) for r in flat.collect()} == {("2", "", None, "1"), ("2", "customer", "", "2"), ("3", "", None, None), ("3", "customer", "", "3")}
+    plan = nested.customer_ties(rows)._jdf.queryExecution().toString()
+    assert "MapInPandas" in plan
