@@ -684,6 +684,17 @@ def p3_segment_items(spark: SparkSession, d: str) -> DataFrame:
     return nested.table_of(_flat(spark, d), "wbs_code.segment_items", {"code": "string", "name": "string", "is_parent": "boolean"})
 
 
+@query()
+def p3_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The whole flat output: every row of every related table, with all its members."""
+    customers = table(spark, d, "dl_silver_qbo_customers")
+    members = [c for c in customers.columns if c not in ("qbo_customer_id", "parentref")]
+    sources = {"procore_budget_detail_row": _flat(spark, d), "dl_silver_qbo_customers": nested.flatten_customers(customers, members)}
+    entries = lambda c: F.array_sort(F.map_entries(c)).alias(c)
+    keys = ("record_key", "record_at", "table", "row_key", "parent_key", "ordinal", "id")
+    return reduce(DataFrame.unionByName, [rows.select(F.lit(name).alias("source"), *keys, entries("ids"), entries("fields")) for name, rows in sources.items()])
+
+
 def _profiles(spark: SparkSession, d: str) -> list[profile.Profile]:
     return profile.load_profiles(table(spark, d, "dim_project"), table(spark, d, "dl_dq_results"))
 

@@ -45,3 +45,11 @@ def test_runs(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_p3_rows_hold_every_related_table(spark):
+    rows = entry.queries()["p3_rows"](spark, DIR)
+    got = {(r.source, r.table) for r in rows.select("source", "table").distinct().collect()}
+    below = ("", "budget_forecast", "wbs_code", "wbs_code.segment_items", "wbs_code.segment_items.segment", "wbs_code.attribute_items")
+    assert got >= {("procore_budget_detail_row", t) for t in below} | {("dl_silver_qbo_customers", t) for t in ("", "customer")}
+    assert rows.filter("table = 'customer'").count() == spark.read.parquet(f"{DIR}/dl_silver_qbo_customers.parquet").count()
