@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,17 +33,51 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables, below the one the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where neither the
-    setting nor a context folder exists (a local test session) is one made below the machine's
-    temporary folder.
+    Only in one process (master ``local`` or ``local[n]``), where neither the setting nor a context
+    folder exists, is one made below the machine's temporary folder.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not named and not sc.master.startswith("local"):
+    sc = spark.sparkContext
+    named = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="ledgerloom-checkpoint-"))
-    return df.checkpoint(eager=True)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
+        named = sc.getCheckpointDir()
+    return f"{named.rstrip('/')}/ledgerloom-{sc.applicationId}"
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` once, as a columnar table in the shared folder, and read it back.
+
+    The result has no lineage but its files, so a lost executor costs no recomputation of what came
+    before, later readers fetch only the columns they use, and nothing is computed twice as by an
+    eager checkpoint. ``forget`` removes the files of a result that nobody reads any more,
+    ``clear`` those of the whole session.
+    """
+    spark = df.sparkSession
+    at = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    out = spark.read.schema(df.schema).parquet(at)
+    out.cut_at = at
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Remove the files of a result of ``cut``; harmless for any other."""
+    if at := getattr(df, "cut_at", None):
+        fs, p = _path(df.sparkSession, at)
+        fs.delete(p, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this session. Results that were not yet written need them."""
+    fs, p = _path(spark, shared_folder(spark))
+    fs.delete(p, True)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_PARTS = 1000
+#: Keys with no more rows than this are never worth a separate way.
+HOT_ROWS = 50_000
 
 
 def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str, how: str = "inner") -> DataFrame:
@@ -17,8 +19,28 @@ def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str, how: s
     be cheap to read twice (cut or cached). ``how`` is inner or left.
     """
     total = keyed.agg(F.sum(count)).first()[0] or 0
-    hot = keyed.filter(F.col(count) * HOT_PARTS > total)
-    hot_keys = hot.select(key)
+    floor = max(total // HOT_PARTS, HOT_ROWS)
+    hot = keyed.filter(F.col(count) > floor)
+    if not hot.limit(1).count():
+        return rows.join(keyed, key, how)
     near = rows.join(F.broadcast(hot), key, "inner")
-    far = rows.join(F.broadcast(hot_keys), key, "left_anti").join(keyed.filter(F.col(count) * HOT_PARTS <= total), key, how)
+    far = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(keyed.filter(F.col(count) <= floor), key, how)
     return near.unionByName(far)
+
+
+def join_unique(rows: DataFrame, keyed: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``keyed``, which holds one row for each combination of ``keys``.
+
+    ``total`` is about how many rows there are. Combinations with more than a thousandth of them are
+    counted first (a partial aggregate of the keys alone) and joined by broadcast; fewer rows than
+    HOT_ROWS altogether can't have one, so they aren't counted.
+    """
+    floor = max(total // HOT_PARTS, HOT_ROWS)
+    if total <= floor:
+        return rows.join(keyed, keys)
+    hot = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > floor).drop("_n").limit(HOT_PARTS + 1).collect()
+    if not hot:
+        return rows.join(keyed, keys)
+    hot = F.broadcast(rows.sparkSession.createDataFrame(hot, rows.select(*keys).schema))  # HOT_PARTS rows at most
+    near = rows.join(F.broadcast(keyed.join(hot, keys, "left_semi")), keys)
+    return near.unionByName(rows.join(hot, keys, "left_anti").join(keyed, keys))
