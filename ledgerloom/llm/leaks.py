@@ -9,8 +9,16 @@ within a few letters where a word was retyped. Pieces of at most PHRASE_WORDS wo
 phrase and count for nothing; an item leaked into a document if its larger pieces, taken in the
 item's order, hold LEAK_WORDS words or more.
 
-Only the items travel to the tasks; their number is checked against MAX_ITEM_BYTES. Nothing is
-shuffled, and one document is one scan of linear length, so no source or project can be too hot.
+Only the items travel to the tasks, at most SLICE_BYTES at a time: a larger set is cut into slices
+by a hash of the item, each with an automaton and a scan of its own. How many items share a seed is
+counted over all of them, so the slices together give what one automaton would. Nothing of the
+documents is shuffled, and one document is one scan of linear length, so no source or project can be too hot.
+
+An item is only looked at in a document if one of its raising seeds stands there. Every clean run of
+WINDOW_WORDS words holds one, and so does any seed that no more than two items share, or FEW_SEEDS of
+them that no more than FEW_ITEMS share; what can be missed is a passage retyped in every WINDOW_WORDS
+words nearly all of whose clean seeds stand in more than FEW_ITEMS items. A piece that holds fewer than GROW_WORDS words
+in seeds, or MIN_SEEDS hits, is not grown.
 
 Defined results: null or empty documents and items match nothing; items shorter than LEAK_WORDS
 words can't leak; items with equal texts leak together; every document counts by its own id, equal
@@ -20,13 +28,18 @@ text or not; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
+from heapq import heappop, heappush
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.runtime import cut
+
 SEED_WORDS = 3
 PHRASE_WORDS = 12
 LEAK_WORDS = 20
@@ -34,13 +47,15 @@ LEAK_WORDS = 20
 GROW_WORDS = 7
 #: Seeds that a piece of more than PHRASE_WORDS words has at the very least, its bridges and ends taken off.
 MIN_SEEDS = 2
-#: A clean run of so many words always brings its item into closer view.
+#: A clean run of so many words always brings its item into closer view, and so do FEW_SEEDS seeds that
+#: no more than FEW_ITEMS items share.
 WINDOW_WORDS = 8
+FEW_SEEDS, FEW_ITEMS = 3, 16
 #: Words a retyped stretch may span between two seeds, and letters by which it may have grown.
 BRIDGE_WORDS = 5
 BRIDGE_SLACK = 24
-#: The automaton lives in every Python worker and takes some 300 bytes for each of these.
-MAX_ITEM_BYTES = 8_000_000
+#: Bytes of items in one automaton, which lives in every Python worker and takes some 300 bytes for each of these.
+SLICE_BYTES = 8_000_000
 
 _WORD = re.compile(r"[^\W_]+")
 _REST = re.compile(r"[\W_]+")
@@ -84,7 +99,8 @@ def _edits(a: str, b: str, most: int) -> bool:
 class Automaton:
     """The items as words with their letter positions, and one automaton over their seeds."""
 
-    def __init__(self, items: list[tuple[int, str]], seed_words: int = SEED_WORDS):
+    def __init__(self, items: list[tuple[int, str]], seed_words: int = SEED_WORDS, shared: dict[str, int] | None = None):
+        """shared: for seeds that stand in several items, in how many; by default counted among ``items``."""
         import ahocorasick
 
         self.items: dict[int, tuple[list[str], list[int]]] = {}
@@ -100,10 +116,10 @@ class Automaton:
             for q in range(len(words) - seed_words + 1):
                 seeds["".join(words[q : q + seed_words])].append((item, q))
         self.k = seed_words
-        # The seeds that raise an item: those of one or two items only, and in every window of
+        # The seeds that raise an item at once: those of one or two items only, and in every window of
         # WINDOW_WORDS words the one that the fewest items share, so that each clean run of so many
         # words raises its item while phrases that many items share seldom do.
-        spread = {s: len({i for i, _ in at}) for s, at in seeds.items()}
+        spread = {s: (shared.get(s, 1) if shared is not None else len({i for i, _ in at})) for s, at in seeds.items()}
         raises: dict[str, set[int]] = defaultdict(set)
         for item, (words, _) in self.items.items():
             own = ["".join(words[q : q + seed_words]) for q in range(len(words) - seed_words + 1)]
@@ -118,7 +134,8 @@ class Automaton:
             by_item: dict[int, list[int]] = defaultdict(list)
             for item, q in at:
                 by_item[item].append(q)
-            self.machine.add_word(s, (len(s), tuple(raises.get(s, ())), dict(by_item)))
+            few = tuple(by_item) if 2 < spread[s] <= FEW_ITEMS else ()
+            self.machine.add_word(s, (len(s), tuple(raises.get(s, ())), few, dict(by_item)))
         self.machine.make_automaton()
         self.empty = not seeds
 
@@ -128,8 +145,13 @@ class Automaton:
         if self.empty:
             return out
         seen = list(self.machine.iter(letters))
-        raised = {i for _, (_, r, _) in seen if r for i in r}
-        for end, (n, _, at) in seen if raised else ():
+        raised = {i for _, (_, r, _, _) in seen if r for i in r}
+        often: dict[int, int] = {}
+        for _, (_, _, few, _) in seen:
+            for i in few:
+                often[i] = often.get(i, 0) + 1
+        raised.update(i for i, n in often.items() if n >= FEW_SEEDS)
+        for end, (n, _, _, at) in seen if raised else ():
             for item in raised.intersection(at) if len(raised) < len(at) else [i for i in at if i in raised]:
                 out.setdefault(item, []).extend((end + 1 - n, end + 1, q) for q in at[item])
         return out
@@ -197,30 +219,98 @@ class Automaton:
 
 
 def _in_order(pieces: list[tuple[int, int, int, int, int]]) -> tuple[int, list[tuple[int, int, int, int, int]]]:
-    """The pieces, one after the other in both texts, that hold the most words of the item."""
-    best: list[tuple[int, list]] = []
+    """The pieces, one after the other in both texts, that hold the most words of the item.
+
+    pieces are sorted by first letter. A piece may follow those that end up to two words and eight
+    letters into it; the best of them by last word is kept in a tree of prefix maxima."""
+    if not pieces:
+        return 0, []
+    size = max(p[2] for p in pieces) + 1
+    tree: list[tuple[int, int]] = [(0, -1)] * (size + 1)
+    total, back, waiting = [0] * len(pieces), [-1] * len(pieces), []
     for i, p in enumerate(pieces):
-        before = max(
-            ((n, c) for (n, c), q in zip(best, pieces[:i], strict=True) if q[2] <= p[1] + 2 and q[4] <= p[3] + 8),
-            key=lambda x: x[0], default=(0, []),
-        )
-        best.append((before[0] + p[0], [*before[1], p]))
-    return max(best, key=lambda x: x[0], default=(0, []))
+        while waiting and waiting[0][0] <= p[3] + 8:
+            _, j = heappop(waiting)
+            at = pieces[j][2]
+            while at <= size:
+                tree[at] = max(tree[at], (total[j], j))
+                at += at & -at
+        best, at = (0, -1), min(size, p[1] + 2)
+        while at > 0:
+            best = max(best, tree[at])
+            at -= at & -at
+        total[i], back[i] = best[0] + p[0], best[1]
+        heappush(waiting, (p[4], i))
+    i = max(range(len(pieces)), key=total.__getitem__)
+    most, chosen = total[i], []
+    while i >= 0:
+        chosen.append(pieces[i])
+        i = back[i]
+    return most, chosen[::-1]
+
+
+def _seeds(items: DataFrame) -> DataFrame:
+    """(item_id, seed) of every item, as often as it stands there."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for item, text in zip(batch["item_id"], batch["text"], strict=True):
+                words = _WORD.findall(text.lower())
+                seeds = ["".join(words[q : q + SEED_WORDS]) for q in range(len(words) - SEED_WORDS + 1)]
+                yield pd.DataFrame({"item_id": [item] * len(seeds), "seed": seeds}).astype({"item_id": "int64", "seed": "str"})
+
+    return items.mapInPandas(run, "item_id long, seed string")
+
+
+def _slices(items: DataFrame, most: int) -> list[tuple[list[tuple[int, str]], dict[str, int] | None]]:
+    """Items, and how many items share a seed where that isn't for the slice alone to tell, of each slice."""
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size <= most:
+        return [([(r[0], r[1]) for r in items.collect()], None)]
+    n = 1
+    while True:  # until no slice is too large, but for single items that are
+        n *= 2
+        part = F.pmod(F.xxhash64("item_id"), F.lit(n))
+        worst = items.groupBy(part.alias("p")).agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("k")).filter((F.col("b") > most) & (F.col("k") > 1))
+        if not worst.limit(1).count():
+            break
+    seeds = cut(_seeds(items).distinct())
+    shared = cut(seeds.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1"))
+    out = []
+    for i in range(n):
+        own = items.filter(part == i).collect()
+        if own:
+            mine = seeds.filter(part == i).select("seed").distinct().join(shared, "seed").collect()  # seeds of one slice
+            out.append(([(r[0], r[1]) for r in own], {r.seed: r.n for r in mine}))
+    return out
+
+
+#: The machine of the scan a worker is at, so that its next task need not build it again.
+_built: dict[str, Automaton] = {}
 
 
-def find_leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _machine(key: str, held) -> Automaton:
+    if key not in _built:
+        _built.clear()
+        _built[key] = Automaton(held.value[0], shared=held.value[1])
+    return _built[key]
+
+
+def find_leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """(item_id, doc_id, words, start, end): words of the item found, and where in the original text
     they stand, from the first letter of the first piece to the end of the last."""
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > MAX_ITEM_BYTES:
-        raise ValueError(f"{size} bytes of items; run them in slices of at most {MAX_ITEM_BYTES}")
     spark = documents.sparkSession
-    held = spark.sparkContext.broadcast(
-        [(r[0], r[1]) for r in items.select("item_id", "text").filter("item_id is not null and text is not null").distinct().collect()]
-    )
+    items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null and text is not null").distinct()
+    texts = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter("doc_id is not null and text is not null and text != ''")
+    found = [_scan(texts, spark.sparkContext.broadcast(x)) for x in _slices(items, slice_bytes)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _scan(texts: DataFrame, held) -> DataFrame:
+    key = uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        machine = Automaton(held.value)
+        machine = _machine(key, held)
         for batch in batches:
             out = []
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
@@ -230,8 +320,4 @@ def find_leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", t
                     out.extend((item, doc, n, at[a], at[b - 1] + 1) for item, n, a, b, _ in found)
             yield pd.DataFrame(out, columns=["item_id", "doc_id", "words", "start", "end"])
 
-    return (
-        documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-        .filter("doc_id is not null and text is not null and text != ''")
-        .mapInPandas(run, "item_id long, doc_id long, words int, start int, end int")
-    )
+    return texts.mapInPandas(run, "item_id long, doc_id long, words int, start int, end int")

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.tokens import DEFAULT_RANKS, count_tokens
@@ -41,27 +41,33 @@ def source_label(c: Column) -> Column:
     return F.nullif(F.regexp_replace(plain, "^_+|_+$", ""), F.lit(""))
 
 
-def sized(documents: DataFrame, ranks_path: str = DEFAULT_RANKS) -> DataFrame:
-    """(doc_id, source, tokens) of the documents that have all three."""
+def sized(documents: DataFrame, wanted: list, ranks_path: str = DEFAULT_RANKS) -> DataFrame:
+    """(doc_id, source, tokens) of the documents of the wanted sources that have all three. Only these are tokenised."""
     rows = documents.select("doc_id", source_label(F.col("source")).alias("source"), "text")
     rows = rows.filter("doc_id is not null and source is not null and text is not null and text != ''")
+    names = documents.sparkSession.createDataFrame([(w.source,) for w in wanted], "source string")
+    rows = rows.join(F.broadcast(names), "source", "left_semi")  # checked by _targets
     return rows.select("doc_id", "source", count_tokens(F.col("text"), ranks_path).cast("long").alias("tokens")).filter("tokens > 0")
 
 
-def _targets(targets: DataFrame) -> DataFrame:
+def _targets(targets: DataFrame) -> list:
+    """(source, share, passes) of every usable target: a declared list, whose size is checked before it goes anywhere."""
     named = targets.select(
         source_label(F.col("source")).alias("source"), F.col("target_share").cast("double").alias("share"), F.col("max_repeats").cast("int").alias("passes")
     )
     usable = named.filter("source is not null and share > 0 and passes >= 1 and not isnan(share)")
-    return usable.groupBy("source").agg(F.sum("share").alias("share"), F.max("passes").alias("passes"))
+    held = usable.groupBy("source").agg(F.sum("share").alias("share"), F.max("passes").alias("passes")).limit(MAX_TARGETS + 1).collect()
+    if len(held) > MAX_TARGETS:
+        raise ValueError(f"more than {MAX_TARGETS} targets")
+    return held
 
 
 def queued(sizes: DataFrame, plan: DataFrame, rows: int, seed: int) -> DataFrame:
     """Every copy a source may contribute, with its virtual finish time."""
-    bits = max(0, min(24, math.ceil(math.log2(max(1, rows / ROWS_PER_BUCKET)))))
+    bits = max(0, min(40, math.ceil(math.log2(max(1, rows / ROWS_PER_BUCKET)))))
     copies = sizes.join(F.broadcast(plan), "source").withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("passes") - 1)))
     copies = copies.withColumn("turn", F.xxhash64("doc_id", "pass", F.lit(seed)))
-    bucket = F.shiftrightunsigned(F.col("turn"), 64 - bits).cast("int") if bits else F.lit(0)
+    bucket = F.shiftrightunsigned(F.col("turn"), 64 - bits) if bits else F.lit(0)
     copies = copies.withColumn("bucket", bucket)
     # order by the bucket first: inside, the hash as a signed number is as good a shuffle
     queue = ["source", "pass", "bucket"]
@@ -75,7 +81,7 @@ def queued(sizes: DataFrame, plan: DataFrame, rows: int, seed: int) -> DataFrame
     )
 
 
-def schedule(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 17) -> DataFrame:
+def schedule(sizes: DataFrame, wanted: list, total_tokens: int | None = None, seed: int = 17) -> DataFrame:
     """(source, doc_id, pass, tokens) of the chosen copies.
 
     total_tokens: the budget. By default the largest one that lets every source with documents give
@@ -84,11 +90,10 @@ def schedule(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = No
     """
     spark = sizes.sparkSession
     sizes = cut(sizes)  # tokenised once, read several times
-    wanted = _targets(targets)
-    held = sizes.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")).join(F.broadcast(wanted), "source")
-    held = held.limit(MAX_TARGETS + 1).collect()
-    if len(held) > MAX_TARGETS:
-        raise ValueError(f"more than {MAX_TARGETS} targets")
+    by = {w.source: w for w in wanted}
+    names = spark.createDataFrame([(w.source,) for w in wanted], "source string")
+    sums = sizes.join(F.broadcast(names), "source", "left_semi").groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")).collect()
+    held = [Row(source=r.source, tokens=r.tokens, n=r.n, share=by[r.source].share, passes=by[r.source].passes) for r in sums]  # no more than targets
     if not held:
         return spark.createDataFrame([], "source string, doc_id long, pass int, tokens long")
     whole = sum(r.share for r in held)
@@ -120,7 +125,8 @@ def schedule(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = No
 
 def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, ranks_path: str = DEFAULT_RANKS, seed: int = 17) -> DataFrame:
     """(doc_id, source, repeats, tokens): the chosen documents, how often each is used, and its size."""
-    chosen = schedule(sized(documents, ranks_path), targets, total_tokens, seed)
+    wanted = _targets(targets)
+    chosen = schedule(sized(documents, wanted, ranks_path), wanted, total_tokens, seed)
     return chosen.groupBy("doc_id", "source").agg(F.count("*").cast("int").alias("repeats"), F.max("tokens").alias("tokens"))
 
 
@@ -130,9 +136,10 @@ def shares(documents: DataFrame, targets: DataFrame, total_tokens: int | None =
     got = chosen.groupBy("source").agg(
         F.sum(F.col("tokens") * F.col("repeats")).alias("tokens"), F.count("*").alias("documents"), F.max("repeats").alias("most_repeats")
     )
-    out = F.broadcast(_targets(targets)).join(got, "source", "left")
+    named = documents.sparkSession.createDataFrame([(w.source, w.share) for w in _targets(targets)], "source string, target_share double")
+    out = named.join(got, "source", "left")
     return out.select(
-        "source", F.col("share").alias("target_share"),
+        "source", "target_share",
         (F.coalesce("tokens", F.lit(0)) / F.sum("tokens").over(Window.partitionBy())).alias("actual_share"),
         *[F.coalesce(c, F.lit(0)).alias(c) for c in ("tokens", "documents", "most_repeats")],
     )

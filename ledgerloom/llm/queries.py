@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import entity_match, form_copies, leaks, mixture, splitter, survivor
+from ledgerloom.llm import entity_match, form_copies, fusion, leaks, mixture, splitter, survivor
 from ledgerloom.runtime import table
 
 
@@ -18,6 +19,13 @@ def _p4(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return table(spark, d, "dl_silver_budget_lines"), table(spark, d, "dl_silver_cost_codes")
 
 
+def _p4_fused(spark: SparkSession, d: str) -> DataFrame:
+    keys, (lines, codes) = ["project_id", "record_key"], _p4(spark, d)
+    a = fusion.fuse(survivor.budget_line_rows(lines, survivor.BUDGET_FIELDS), keys, survivor.BUDGET_FIELDS).withColumn("entity", F.lit("budget_line"))
+    b = fusion.fuse(survivor.cost_code_rows(codes, survivor.CODE_FIELDS), keys, survivor.CODE_FIELDS).withColumn("entity", F.lit("cost_code"))
+    return a.unionByName(b)
+
+
 def _vendors(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return table(spark, d, "dl_silver_vendors"), table(spark, d, "dl_silver_qbo_vendors")
 
@@ -30,6 +38,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_found": lambda s, d: form_copies.vendor_copies(*_vendors(s, d)),
         "p2_vendors": lambda s, d: form_copies.vendor_records(*_vendors(s, d)),
         "p4_found": lambda s, d: survivor.latest_field_sources(*_p4(s, d)),
+        "p4_fused": _p4_fused,
         "p4_budget_lines": lambda s, d: survivor.surviving_records(
             survivor.budget_line_rows(_p4(s, d)[0], survivor.BUDGET_FIELDS, every=True), survivor.BUDGET_FIELDS
         ),

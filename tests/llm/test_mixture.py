@@ -13,7 +13,7 @@ TARGETS = "source string, target_share double, max_repeats int, pass string"
 def _chosen(spark, sizes, targets, total=None, **kw):
     s = spark.createDataFrame(sizes, SIZES)
     t = spark.createDataFrame([(*x, "x") for x in targets], TARGETS)
-    return mixture.schedule(s, t, total, **kw).collect()
+    return mixture.schedule(s, mixture._targets(t), total, **kw).collect()
 
 
 def _tokens(rows):
@@ -55,9 +55,18 @@ def test_edges(spark):
 
 def test_labels_and_tokens(spark):
     docs = spark.createDataFrame([(1, "Daily Log", "one two"), (2, " daily_log", "<|endoftext|>"), (3, "daily-log ", ""), (4, None, "x"), (5, "x", None), (6, " - ", "t"), (7, "DAILY  LOG", "y" * 50_000)], "doc_id long, source string, text string")
-    got = {r.doc_id: (r.source, r.tokens) for r in mixture.sized(docs).collect()}
+    t = spark.createDataFrame([("daily_log", 0.9, 1, "x"), ("gone", 0.1, 1, "x")], TARGETS)
+    got = {r.doc_id: (r.source, r.tokens) for r in mixture.sized(docs, mixture._targets(t)).collect()}
     enc = encoding(DEFAULT_RANKS)
     assert set(got) == {1, 2, 7} and {s for s, _ in got.values()} == {"daily_log"} and got[1][1] == 2 and got[2][1] == len(enc.encode_ordinary("<|endoftext|>")) > 1
-    t = spark.createDataFrame([("daily_log", 0.9, 1, "x"), ("gone", 0.1, 1, "x")], TARGETS)
     rows = {r.source: r for r in mixture.shares(docs, t).collect()}
     assert rows["daily_log"].actual_share == 1.0 and rows["gone"].tokens == 0
+
+
+def test_only_wanted_sources_are_tokenised_and_targets_are_checked(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a", "one two"), (2, "b", "three")], "doc_id long, source string, text string")
+    t = spark.createDataFrame([("a", 1.0, 1, "x"), ("c", 1.0, 1, "x")], TARGETS)
+    assert [r.doc_id for r in mixture.sized(docs, mixture._targets(t)).collect()] == [1]
+    monkeypatch.setattr(mixture, "MAX_TARGETS", 1)
+    with pytest.raises(ValueError):
+        mixture.mix(docs, t)
