@@ -92,8 +92,22 @@ def _merged(rows: str, fields: list[str]) -> str:
     return f"SELECT project_id, record_key, {cols} FROM {rows} WHERE project_id IS NOT NULL AND record_key IS NOT NULL GROUP BY project_id, record_key"
 
 
+# the definition, by keys that forms of one vendor share, carried over; names that differ by several joins and by order are not in it
+_LOW = r"regexp_replace(lower(text), '[\s\p{Z}]+', ' ', 'g')"
+_VENDORS = rf"""named AS (SELECT DISTINCT trim(id) AS id, text FROM (SELECT vendor_id AS id, vendor_name AS text FROM dl_silver_vendors UNION ALL SELECT qbo_vendor_id, vendor_name FROM dl_silver_qbo_vendors)
+  WHERE nullif(trim(id), '') IS NOT NULL AND regexp_replace(lower(text), '[^\p{{L}}\p{{M}}\p{{N}}]', '', 'g') <> ''),
+cleaned AS (SELECT id, regexp_replace({_LOW}, '[^\p{{L}}\p{{M}}\p{{N}}\s]', '', 'g') AS tight, regexp_replace({_LOW}, '[^\p{{L}}\p{{M}}\p{{N}}\s]', ' ', 'g') AS loose FROM named),
+worded AS (SELECT id, list_filter(string_split_regex(unnest([tight, loose]), '\s+'), lambda w: w <> '') AS w FROM cleaned),
+keyed AS (SELECT DISTINCT id, unnest(list_concat(['w' || array_to_string(list_sort(w), ' '), 'j' || array_to_string(w, '')],
+  list_transform(range(1, len(w)), lambda i: 'w' || array_to_string(list_sort(list_concat(w[1:i-1], [w[i] || w[i+1]], w[i+2:])), ' ')))) AS k FROM worded),
+hub AS (SELECT id, min(id) OVER (PARTITION BY k) AS o FROM keyed), link AS (SELECT DISTINCT id AS a, o AS b FROM hub WHERE id <> o), both_ways AS (SELECT a, b FROM link UNION SELECT b, a FROM link)"""
+_P2 = f"""WITH RECURSIVE {_VENDORS}, reach AS (SELECT DISTINCT id AS root, id FROM keyed UNION SELECT reach.root, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.id WHERE both_ways.b > reach.root)
+SELECT min(root) AS keep_id, id AS copy_id FROM reach GROUP BY id HAVING min(root) <> id"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p2_found": _P2,
         "p4_found": f"WITH {_LINES}, {_CODES} {_sources('budget_line', 'budget', survivor.BUDGET_FIELDS)} UNION ALL {_sources('cost_code', 'codes', survivor.CODE_FIELDS)}",
         "p4_budget_lines": f"WITH {_LINES} {_merged('budget', survivor.BUDGET_FIELDS)}",
         "p4_cost_codes": f"WITH {_CODES} {_merged('codes', survivor.CODE_FIELDS)}",
