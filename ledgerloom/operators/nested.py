@@ -10,35 +10,91 @@ Row: table (path of names from the record, '' for the record itself), row_key an
 (ordinals along the path, which tie child to parent), ordinal (position among its siblings), id,
 ids (the ids of all rows above, by table) and fields (scalar members by name).
 
-Defined results: a payload that is null, empty or not JSON is unreadable and gives no row; a payload
-that is text holding JSON, a list of records, or records below one of the wrapper names counts as
-its records; null members give no field, null list members no row; a member missing or null gives
-no child row; repeated landings give repeated rows under their own record_key.
+A payload is one value of its column, so it is read where it stands, by the interpreter's scanner;
+what is nested deeper than that one's stack goes through ``deep``, which needs none.
+
+Defined results: a payload that is null, empty or not JSON is unreadable and gives no row here but a
+reject in ``unreadable``, as does one that holds no record; a payload that is text holding JSON, a
+list of records, or an object of nothing but records below wrapper names (and what belongs to
+paging) counts as its records, any other object is a record with all its members; null members give
+no field, null list members no row; a member missing or null gives no child row; of lists in a list
+a row's key holds the position in each, joined by "_"; repeated landings give repeated rows under
+their own record_key.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Member names that may wrap a payload's records.
+# Member names that may wrap a payload's records, and those that may stand beside them.
 WRAPPERS = ("data", "items", "results")
+PAGING = ("total", "count", "page", "per_page", "limit", "offset", "next", "paging", "has_more")
 ROW_SCHEMA = (
     "record_key string, record_at long, table string, row_key string, parent_key string, ordinal int, id string, "
     "ids map<string,string>, fields map<string,string>"
 )
 
+_TOKEN = re.compile(r'[ \t\r\n]*(?:([{}\[\],:])|("(?:[^"\\\x00-\x1f]|\\.)*")|(-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][-+]?\d+)?)|(true|false|null))')
+_WORD = {"true": True, "false": False, "null": None}
+
+
+def deep(text: str) -> object:
+    """The value of a JSON text nested to any depth, read token by token with a stack of its own; ValueError for no JSON."""
+    top: list = []
+    open_: list = [top]  # containers being filled
+    names: list = [None]  # the member name that waits for its value, for each of them
+    after, at, end = "start", 0, len(text.rstrip(" \t\r\n"))
+    while at < end:
+        m = _TOKEN.match(text, at, end)
+        if m is None or (top and len(open_) == 1):
+            raise ValueError(f"no JSON at {at}")
+        at, sign = m.end(), m[1]
+        held = open_[-1]
+        if isinstance(held, dict) and names[-1] is None and sign is None and m[2] and after in ("{", ","):
+            names[-1], after = json.loads(m[2]), "name"
+        elif sign == ":" and after == "name":
+            after = ":"
+        elif sign == "," and after == "value" and len(open_) > 1:
+            after = ","
+        elif sign in ("}", "]") and isinstance(held, dict if sign == "}" else list) and len(open_) > 1 and after in ("value", "{" if sign == "}" else "["):
+            open_.pop()
+            names.pop()
+            after = "value"
+        elif sign in ("{", "[", None) and after in (("start", "[", ",") if isinstance(held, list) else (":",)):
+            value = {} if sign == "{" else [] if sign == "[" else json.loads(m[2] or m[3]) if m[2] or m[3] else _WORD[m[4]]
+            if isinstance(held, list):
+                held.append(value)
+            else:
+                held[names[-1]], names[-1] = value, None
+            after = "value"
+            if sign:
+                open_.append(value)
+                names.append(None)
+                after = sign
+        else:
+            raise ValueError(f"no JSON at {at}")
+    if len(open_) != 1 or not top:
+        raise ValueError("no whole JSON")
+    return top[0]
+
 
 def _parsed(text: str | None) -> object:
     value: object = text
     while isinstance(value, str):
         try:
             value = json.loads(value)
-        except (ValueError, RecursionError):
+        except RecursionError:
+            try:
+                value = deep(value)
+            except ValueError:
+                return None
+        except ValueError:
             return None
     return value
 
@@ -53,7 +109,7 @@ def _records(value: object, wrappers: tuple[str, ...]) -> Iterator[dict]:
             todo.extend(reversed(x))
         elif isinstance(x, dict):
             inside = [x[w] for w in wrappers if isinstance(x.get(w), (dict, list))]
-            if inside and "id" not in x:
+            if inside and all(k in wrappers or k in PAGING or v is None for k, v in x.items()):
                 todo.extend(reversed(inside))
             else:
                 yield x
@@ -67,9 +123,18 @@ def _scalar(x: object) -> str:
     return str(x)
 
 
-def _spread(members: list) -> list:
-    """Lists within a list belong to it; positions count through."""
-    return [y for x in members for y in (_spread(x) if isinstance(x, list) else [x])]
+def _spread(members: list) -> Iterator[tuple[int, str, object]]:
+    """(position counted through, positions in each list, member) of a list and the lists within it."""
+    todo: list[tuple[str, object]] = [(str(i), x) for i, x in reversed(list(enumerate(members)))]
+    n = 0
+    while todo:
+        at, x = todo.pop()
+        if isinstance(x, list):
+            todo.extend((f"{at}_{i}", y) for i, y in reversed(list(enumerate(x))))
+        else:
+            if x is not None:
+                yield n, at, x
+            n += 1
 
 
 def _id(fields: dict[str, str]) -> str | None:
@@ -79,20 +144,23 @@ def _id(fields: dict[str, str]) -> str | None:
     return (whole if dot and whole.isdigit() and not rest.strip("0") else own) or None
 
 
-def triples(record: dict) -> Iterator[tuple[tuple[str, ...], tuple[int, ...], str | None]]:
-    """(path, ordinals, value) of every scalar, in document order; ordinals hold one number for each
-    name of the path but the last, the position of that object in its list (0 outside of one).
+Ordinals = tuple[tuple[int, str], ...]
+
+
+def triples(record: dict) -> Iterator[tuple[tuple[str, ...], Ordinals, str | None]]:
+    """(path, ordinals, value) of every scalar, in document order; ordinals hold, for each name of the
+    path but the last, the position of that object in its list (0 outside of one), counted and as written.
     An object itself is announced by a triple without value, its path ending in ''."""
-    todo: list[tuple[tuple[str, ...], tuple[int, ...], object]] = [((), (), record)]
+    todo: list[tuple[tuple[str, ...], Ordinals, object]] = [((), (), record)]
     while todo:
         path, at, x = todo.pop()
         if isinstance(x, dict):
             yield (*path, ""), at, None
             for name, member in reversed(x.items()):
                 if isinstance(member, dict):
-                    todo.append(((*path, name), (*at, 0), member))
+                    todo.append(((*path, name), (*at, (0, "0")), member))
                 elif isinstance(member, list):
-                    todo.extend(((*path, name), (*at, i), m) for i, m in reversed(list(enumerate(_spread(member)))) if m is not None)
+                    todo.extend(((*path, name), (*at, (n, where)), m) for n, where, m in reversed(list(_spread(member))))
                 elif member is not None:
                     todo.append(((*path, name), at, member))
         elif len(at) == len(path):  # scalar members of a list are rows of their own
@@ -109,16 +177,14 @@ def pivot(record: dict) -> list[tuple]:
         fields = rows.setdefault((path[:-1], at), {})
         if value is not None:
             fields[path[-1]] = value
-    out = []
+    out, above = [], {}  # a row stands after the one it lies in
     for (table, at), fields in rows.items():
-        ids = {}
-        for n in range(len(table)):
-            above = _id(rows.get((table[:n], at[:n]), {}))
-            if above:
-                ids[".".join(table[:n])] = above
-        key = ".".join(map(str, at))
-        up = ".".join(map(str, at[:-1])) if at else None
-        out.append((".".join(table), key, up, at[-1] if at else 0, _id(fields), ids, fields))
+        own = _id(fields)
+        ids = above[table[:-1], at[:-1]] if table else {}
+        above[table, at] = ids | {".".join(table): own} if own else ids
+        key = ".".join(where for _, where in at)
+        up = ".".join(where for _, where in at[:-1]) if at else None
+        out.append((".".join(table), key, up, at[-1][0] if at else 0, own, ids, fields))
     return out
 
 
@@ -142,6 +208,28 @@ def flatten(rows: DataFrame, key: str, payload: str, wrappers: tuple[str, ...] =
     return rows.select(F.col(key).cast("string").alias("k"), F.col(payload).alias("p")).filter("p is not null").mapInPandas(run, ROW_SCHEMA)
 
 
+def unreadable(rows: DataFrame, key: str, payload: str, source: str, wrappers: tuple[str, ...] = WRAPPERS) -> DataFrame:
+    """(source_table, reason, row): the payloads that gave no row to ``flatten``, whole, and why."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for k, text in zip(batch["k"], batch["p"], strict=True):
+                if text is None or not text.strip():
+                    reason = "no payload"
+                elif (value := _parsed(text)) is None and text.strip() != "null":
+                    reason = "not JSON"
+                elif next(_records(value, wrappers), None) is None:
+                    reason = "no record"
+                else:
+                    continue
+                out.append((reason, json.dumps({"key": k, "payload": text})))
+            yield pd.DataFrame(out, columns=["reason", "row"])
+
+    found = rows.select(F.col(key).cast("string").alias("k"), F.col(payload).alias("p")).mapInPandas(run, "reason string, row string")
+    return found.select(F.lit(source).alias("source_table"), "reason", "row")
+
+
 def table_of(flat: DataFrame, table: str, columns: dict[str, str]) -> DataFrame:
     """One flat table: its keys, and the named members cast to the given types."""
     return flat.filter(F.col("table") == table).select(

@@ -44,12 +44,14 @@ SIGMAS = 5.0
 
 def mask(value: Column) -> Column:
     """Character-class mask: A for capitals, a for small letters, words of them that follow one
-    another as one, digits one by one in codes but as one run in decimals."""
+    another as one, digits one by one, so a code of the wrong length has another mask, but as one run in decimals."""
     m = F.regexp_replace(value, r"\p{Lu}+", "A")
     m = F.regexp_replace(m, r"\p{Ll}+", "a")
     m = F.regexp_replace(m, r"[0-9]", "9")
-    m = F.regexp_replace(m, r"9{5,}|9+\.9+", "9+")
-    return F.regexp_replace(m, r"\b(Aa?|a)(?: \1\b)+", "$1+")
+    m = F.regexp_replace(m, r"9+\.9+", "9+")
+    for word in ("Aa", "A", "a"):
+        m = F.regexp_replace(m, rf"\b{word}(?: {word}\b)+", f"{word}+")
+    return m
 
 
 def _number(field: T.StructField) -> Column | None:
@@ -74,9 +76,13 @@ def _text(field: T.StructField) -> Column:
 
 
 class Profile:
-    """The profile of the named columns of ``rows``, by the load that ``load`` names."""
+    """The profile of the named columns of ``rows``, by the load that ``load`` names. rare_share, shift,
+    range_shift and sigmas are the bounds that the constants above give by default."""
 
-    def __init__(self, rows: DataFrame, table: str, load: str, columns: list[str]):
+    def __init__(
+        self, rows: DataFrame, table: str, load: str, columns: list[str], rare_share: float = RARE_SHARE, shift: float = SHIFT, range_shift: float = RANGE_SHIFT, sigmas: float = SIGMAS
+    ):
+        self.rare_share, self.shift, self.range_shift, self.sigmas = rare_share, shift, range_shift, sigmas
         self.table, self.load = table, "load of the row"  # a name no alias below can clash with
         self.fields = [rows.schema[c] for c in columns]
         named = [F.col(f"`{c}`") for c in columns if c != load]
@@ -89,6 +95,11 @@ class Profile:
         whole = self.rows.agg(*asked).first().asDict() if asked else {}
         self.edges = {f.name: sorted(set(whole.get(f"q{i}") or [])) for i, f in enumerate(self.fields)}
 
+    @property
+    def _kinds(self) -> list[tuple[str, str]]:
+        """Columns with masks: texts, whole numbers and whatever is no number, date or truth value."""
+        return [(f.name, "mask") for f in self.fields if _number(f) is None and not isinstance(f.dataType, T.BooleanType) or isinstance(f.dataType, T.IntegralType)]
+
     @cached_property
     def loads(self) -> DataFrame:
         """(table_name, column_name, batch_id, row_count, nulls, distinct_values, low, middle, high,
@@ -121,7 +132,7 @@ class Profile:
         each = []
         for f in self.fields:
             t, x = _text(f), _number(f)
-            if x is None and not isinstance(f.dataType, T.BooleanType) or isinstance(f.dataType, T.IntegralType):
+            if (f.name, "mask") in self._kinds:
                 each.append((f.name, "mask", mask(t)))
             each.append((f.name, "value", F.when(F.length(t) > 64, F.sha2(t, 256)).otherwise(t)))
             if x is not None and self.edges[f.name]:
@@ -147,7 +158,7 @@ class Profile:
         x = x.groupBy("column_name", "batch_id", "kind").agg(
             F.first("own").alias("own"), F.first("whole").alias("whole"),
             F.sum(F.greatest(here - there, F.lit(0.0))).alias("distance"),  # half the absolute differences
-            F.sum(F.when(there < RARE_SHARE, here).otherwise(0.0)).alias("rare"),
+            F.sum(F.when(there < self.rare_share, here).otherwise(0.0)).alias("rare"),
             F.max(here).alias("top"), F.count("*").alias("cells"),
         )
         # how many cells occur how often, four steps to a doubling: some hundred numbers per column
@@ -172,7 +183,19 @@ class Profile:
         pool = cells.groupBy("column_name", F.col("cell").alias("mask")).agg(F.sum("n").alias("values"))
         whole = cells.groupBy("column_name").agg(F.sum("n").alias("whole"))
         share = F.col("values") / F.col("whole")
-        return pool.join(whole, "column_name").select(F.lit(self.table).alias("table_name"), "column_name", "mask", "values", share.alias("share"), (share >= RARE_SHARE).alias("dominant"))
+        return pool.join(whole, "column_name").select(F.lit(self.table).alias("table_name"), "column_name", "mask", "values", share.alias("share"), (share >= self.rare_share).alias("dominant"))
+
+    def violations(self) -> DataFrame:
+        """(table_name, column_name, batch_id, mask, values, share, example): the masks rare in their column, by
+        load, with how many of the load's values have each, their share, and one of them."""
+        each = [(f.name, mask(_text(f)), _text(f)) for f in self.fields if any(k == "mask" for c, k in self._kinds if c == f.name)]
+        rows = F.array(*[F.struct(F.lit(c).alias("column_name"), m.alias("mask"), v.alias("v")) for c, m, v in each])
+        long = self.rows.select(F.col(f"`{self.load}`").alias("batch_id"), F.explode(rows).alias("c")).select("batch_id", "c.*").filter("mask is not null")
+        found = long.groupBy("column_name", "batch_id", "mask").agg(F.count("*").alias("values"), F.min(F.substring("v", 1, 200)).alias("example"))
+        own = self.cells.filter("kind = 'mask'").groupBy("column_name", "batch_id").agg(F.sum("n").alias("own"))
+        rare = self.masks().filter("not dominant").select("column_name", "mask")
+        out = found.join(rare, ["column_name", "mask"]).join(own, ["column_name", "batch_id"])
+        return out.select(F.lit(self.table).alias("table_name"), "column_name", "batch_id", "mask", "values", (F.col("values") / F.col("own")).alias("share"), "example")
 
     def measures(self) -> DataFrame:
         """(table_name, column_name, batch_id, measure, value, chance, n, unit) in long form; chance is
@@ -188,19 +211,19 @@ class Profile:
             F.lit(name).alias("measure") if isinstance(name, str) else name.alias("measure"), value.alias("value"), (F.lit(chance) if isinstance(chance, float) else chance).alias("chance"), F.lit(unit).alias("unit")
         )
         kinds = F.array(
-            one("nulls", F.col("nulls") / F.col("row_count"), SHIFT),
-            one("low", scaled("low"), RANGE_SHIFT),
-            one("high", scaled("high"), RANGE_SHIFT),
-            one("least", ends("least"), RANGE_SHIFT),
-            one("greatest", ends("greatest"), RANGE_SHIFT),
+            one("nulls", F.col("nulls") / F.col("row_count"), "share"),
+            one("low", scaled("low"), "range"),
+            one("high", scaled("high"), "range"),
+            one("least", ends("least"), "range"),
+            one("greatest", ends("greatest"), "range"),
         )
         a = loads.select("table_name", "column_name", "batch_id", F.col("row_count").alias("n"), F.explode(kinds).alias("m"))
         by_value = lambda c: F.when(F.col("kind") == "value", c)
         kinds = F.array(
-            one(F.concat("kind", F.lit(" distribution")), F.col("distance"), SHIFT, F.col("chance_distance")),
-            one(F.concat("kind", F.lit(" rarity")), F.col("rare"), SHIFT),
-            one("commonest", by_value(F.col("top")), SHIFT),
-            one("distinct", by_value(F.col("cells") / F.col("own")), SHIFT, F.col("chance_cells") / F.col("own")),
+            one(F.concat("kind", F.lit(" distribution")), F.col("distance"), "share", F.col("chance_distance")),
+            one(F.concat("kind", F.lit(" rarity")), F.col("rare"), "share"),
+            one("commonest", by_value(F.col("top")), "share"),
+            one("distinct", by_value(F.col("cells") / F.col("own")), "share", F.col("chance_cells") / F.col("own")),
         )
         b = self.divergence().select(F.lit(self.table).alias("table_name"), "column_name", "batch_id", F.col("own").alias("n"), F.explode(kinds).alias("m"))
         return a.unionByName(b).select("table_name", "column_name", "batch_id", "m.*", "n").filter("value is not null")
@@ -232,10 +255,10 @@ class Profile:
         u = F.greatest(least, F.least(1 - least, F.col("usual")))
         x = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("value")))
         part = lambda p, q: F.when(p > 0, p * F.ln(p / q)).otherwise(0.0)
-        drawn = F.when(F.col("unit") == SHIFT, F.sqrt(2 * F.col("n") * F.greatest(F.lit(0.0), part(x, u) + part(1 - x, 1 - u))))
-        robust = F.col("off") / F.greatest(1.4826 * F.col("spread"), F.when(F.col("unit") == SHIFT, 1e-6).otherwise(0.02))
+        drawn = F.when(F.col("unit") == "share", F.sqrt(2 * F.col("n") * F.greatest(F.lit(0.0), part(x, u) + part(1 - x, 1 - u))))
+        robust = F.col("off") / F.greatest(1.4826 * F.col("spread"), F.when(F.col("unit") == "share", 1e-6).otherwise(0.02))
         out = near.withColumn("sigmas", F.least(robust, drawn)).filter(
-            (F.col("loads") > 1) & (F.col("off") >= F.col("unit")) & (F.col("sigmas") >= SIGMAS)
+            (F.col("loads") > 1) & (F.col("off") >= F.when(F.col("unit") == "share", self.shift).otherwise(self.range_shift)) & (F.col("sigmas") >= self.sigmas)
         )
         return out.select(*key[:2], "batch_id", "measure", "value", "usual", "sigmas")
 

@@ -67,38 +67,82 @@ def freshness(table: str, column: str, now: datetime, max_hours: int, severity:
     return Expectation(f"{table}.{column}.freshness", table, severity, failing=old, description=f"older than {max_hours} h")
 
 
+RESULTS = "expectation string, table_name string, severity string, failing_rows long, passed boolean, description string"
+
+
+def _counts(tables: Tables, suite: list[Expectation]) -> DataFrame:
+    """(i, failing_rows) by position in the suite: the row predicates of one table share one aggregation, the others are one count each."""
+    parts, by_table = [], {}
+    for i, e in enumerate(suite):
+        if e.predicate is not None:
+            by_table.setdefault(e.table, []).append((i, e))
+        else:
+            parts.append(e.rows(tables).agg(F.count("*").alias("failing_rows")).select(F.lit(i).alias("i"), "failing_rows"))
+    for name, es in by_table.items():
+        counts = tables[name].agg(*[F.count_if(e.predicate).alias(f"n{i}") for i, e in es])
+        parts.append(counts.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"n{i}").alias("failing_rows")) for i, _ in es]))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def run_suite(spark: SparkSession, tables: Tables, suite: list[Expectation]) -> DataFrame:
     """(expectation, table_name, severity, failing_rows, passed, description), one row each.
 
-    Row predicates of one table share one aggregation; the others are one count each; all stay lazy
-    parts of one plan. A check that can't be planned counts as failed with -1 rows.
+    The suite runs as one plan. Whatever can't be planned, or throws while it runs, never stops the
+    others: if the plan fails its checks run one by one, and those that fail alone count as failed, with -1 rows.
     """
-    schema = "expectation string, table_name string, severity string, failing_rows long, description string"
-    parts, broken, by_table = [], [], {}
-    for e in suite:
+    found: dict[int, int] = {}
+
+    def run(positions: list[int]) -> None:
+        if not positions:
+            return
+        try:
+            for r in _counts(tables, [suite[i] for i in positions]).collect():
+                found[positions[r.i]] = r.failing_rows
+        except Exception:
+            if len(positions) > 1:
+                for i in positions:
+                    run([i])
+            else:
+                found[positions[0]] = -1
+
+    sound = []
+    for i, e in enumerate(suite):
         try:
             e.rows(tables).schema  # noqa: B018  analysis errors surface here
+            sound.append(i)
         except Exception:
-            broken.append((e.name, e.table, e.severity, -1, e.description))
-            continue
-        if e.predicate is not None:
-            by_table.setdefault(e.table, []).append(e)
-        else:
-            parts.append(e.rows(tables).agg(F.count("*").alias("failing_rows")).select(F.lit(e.name).alias("expectation"), F.lit(e.table).alias("table_name"), F.lit(e.severity).alias("severity"), "failing_rows", F.lit(e.description).alias("description")))
-    for name, es in by_table.items():
-        counts = tables[name].agg(*[F.count_if(e.predicate).alias(f"n{i}") for i, e in enumerate(es)])
-        cells = [F.struct(F.lit(e.name).alias("expectation"), F.lit(name).alias("table_name"), F.lit(e.severity).alias("severity"), F.col(f"n{i}").alias("failing_rows"), F.lit(e.description).alias("description")) for i, e in enumerate(es)]
-        parts.append(counts.select(F.inline(F.array(*cells))))
-    out = reduce(DataFrame.unionByName, [spark.createDataFrame(broken, schema), *parts])
-    return out.select("expectation", "table_name", "severity", "failing_rows", (F.col("failing_rows") == 0).alias("passed"), "description")
+            found[i] = -1
+    run(sound)
+    return spark.createDataFrame([(e.name, e.table, e.severity, found[i], found[i] == 0, e.description) for i, e in enumerate(suite)], RESULTS)
 
 
-def rejects(tables: Tables, suite: list[Expectation], most: int = 1000) -> DataFrame:
-    """Up to ``most`` failing rows of each expectation as JSON; the limit is what the log holds, the counts are whole."""
-    parts = [e.rows(tables).limit(most).select(F.lit(e.name).alias("expectation"), F.lit(e.severity).alias("severity"), F.to_json(F.struct("*")).alias("row")) for e in suite]
+def rejects(tables: Tables, suite: list[Expectation], most: int | None = 1000) -> DataFrame:
+    """(expectation, severity, row): failing rows of each expectation as JSON. The log holds up to ``most`` of
+    each, the counts are whole; with None all rows are given out."""
+    cut_off = lambda df: df if most is None else df.limit(most)
+    parts = [cut_off(e.rows(tables)).select(F.lit(e.name).alias("expectation"), F.lit(e.severity).alias("severity"), F.to_json(F.struct("*")).alias("row")) for e in suite]
     return reduce(DataFrame.unionByName, parts)
 
 
+def persist(tables: Tables, suite: list[Expectation], results: DataFrame, folder: str, batch: str, at: datetime, most: int | None = 1000) -> None:
+    """Appends a run's results, and the rows its failed checks reject, to ``folder``/results and /rejects.
+    A check that threw has no rows to keep."""
+    stamp = [F.lit(batch).alias("batch_id"), F.lit(at).alias("checked_at")]
+    results.select("*", *stamp).write.mode("append").parquet(f"{folder}/results")
+    failed = {r.expectation for r in results.filter("failing_rows > 0").select("expectation").collect()}
+    if todo := [e for e in suite if e.name in failed]:
+        rejects(tables, todo, most).select("*", *stamp).write.mode("append").parquet(f"{folder}/rejects")
+
+
+def summary(results: DataFrame) -> DataFrame:
+    """(checks, passed, blocking, warnings, not_run) over a run's results, one row."""
+    bad = ~F.col("passed")
+    return results.agg(
+        F.count("*").alias("checks"), F.count_if("passed").alias("passed"), F.count_if(bad & (F.col("severity") == "error")).alias("blocking"),
+        F.count_if(bad & (F.col("severity") != "error")).alias("warnings"), F.count_if(F.col("failing_rows") < 0).alias("not_run"),
+    )
+
+
 class BlockingFailure(RuntimeError):
     pass
 

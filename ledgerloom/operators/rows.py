@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.runtime import cut
+from ledgerloom.skew import join_salted
 
 
 def first_by(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -55,17 +56,6 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], order: list[Co
     return kept.select(*target.columns).unionByName(new.select(*[c for c in target.columns if c in new.columns]), allowMissingColumns=True)
 
 
-def merge_table(source: DataFrame, path: str, keys: list[str], order: list[Column]) -> None:
-    """Upsert into the parquet table at ``path``; the first run creates it. The new state is computed
-    to the shared checkpoint folder before the old is replaced, never read from what it overwrites."""
-    spark = source.sparkSession
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    there = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
-    state = upsert(spark.read.parquet(path), source, keys, order) if there else first_by(source, keys, order)
-    cut(state).write.mode("overwrite").parquet(path)
-
-
 def split_rejects(rows: DataFrame, checks: dict[str, Column], table: str) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, rejects): a row that fails checks is kept as JSON with the first check's name."""
     reason = F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks.items()])
@@ -98,18 +88,54 @@ def spine_left(spine: DataFrame, facts: DataFrame, on: list[str], fill: dict[str
     return spine.join(facts, on, "left").fillna(fill)
 
 
-def trigrams(c: Column, n: int = 3) -> Column:
-    """Distinct runs of n characters, to look for texts that contain another by an equi-join."""
-    return F.when(
-        F.length(c) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(c, i, F.lit(n))))
-    )
+#: Needles are looked up by no more characters than this, so texts are cut into runs of few lengths.
+LONGEST_RUN = 32
+
+
+def contains_pairs(needles: DataFrame, needle: str, hay: DataFrame, text: str, least: int = 3) -> DataFrame:
+    """Pairs where ``text`` contains ``needle``, which has ``least`` characters or more.
+
+    Texts are cut into all their runs of just the lengths that needles have, and meet needles by an
+    equi-join on the whole needle, or on its first LONGEST_RUN characters where it is longer.
+    """
+    seen = needles.filter(F.length(needle) >= least).withColumn("_run", F.substring(F.col(needle), 1, LONGEST_RUN))
+    lengths = [r[0] for r in seen.select(F.length("_run")).distinct().collect()]  # LONGEST_RUN at most
+    if not lengths:
+        return needles.limit(0).join(hay.limit(0))
+    c = F.col(text)
+
+    def runs_of(n: int) -> Column:
+        every = F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(c, i, F.lit(n)))
+        return F.when(F.length(c) >= n, every).otherwise(F.array().cast("array<string>"))
+
+    runs = [runs_of(n) for n in lengths]
+    cut_up = hay.filter(c.isNotNull()).withColumn("_run", F.explode(F.array_distinct(F.concat(*runs))))
+    pairs = join_salted(seen, cut_up, "_run")
+    return pairs.filter((F.length(needle) <= LONGEST_RUN) | F.contains(c, F.col(needle))).drop("_run")
+
+
+def ranked_in(rows: DataFrame, by: str, order: str) -> DataFrame:
+    """Adds n_rows and position: the size of each group (nulls are one) and each row's place in it by ``order``,
+    which must be unique in a group.
+
+    Rows are range-sorted by group and order, so a group of any size spreads over partitions; their
+    sizes, one row for each group and partition, give every partition its offset.
+    """
+    part = cut(rows.repartitionByRange(F.col(by).asc_nulls_first(), F.col(order).asc_nulls_first()).withColumn("_part", F.spark_partition_id()))
+    sizes = part.groupBy(by, "_part").agg(F.count("*").alias("_n"))
+    whole = Window.partitionBy(by)
+    sizes = sizes.select(F.col(by).alias("_by"), F.col("_part").alias("_p"), F.sum("_n").over(whole).alias("n_rows"), (F.sum("_n").over(whole.orderBy("_part")) - F.col("_n")).alias("_base"))
+    own = F.row_number().over(Window.partitionBy("_part", by).orderBy(order))
+    out = part.withColumn("_own", own).join(sizes, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_part") == F.col("_p")))
+    return out.withColumn("position", F.col("_base") + F.col("_own")).drop("_part", "_own", "_by", "_p", "_base")
+
+
+def with_tombstones(mappings: DataFrame, value: str, active: str) -> DataFrame:
+    """Mappings whose inactive rows stay as tombstones: without a value, yet in their place when precedence is
+    ranked, so they blank what weaker mappings say. Apply it before ``by_precedence``."""
+    return mappings.withColumn(value, F.when(F.coalesce(F.col(active), F.lit(False)), F.col(value)))
 
 
-def contains_pairs(needles: DataFrame, needle: str, hay: DataFrame, text: str, n: int = 3) -> DataFrame:
-    """Pairs where ``text`` contains ``needle`` (of n characters or more). Texts meet their needles on
-    the needle's rarest run of n characters, so only few pairs are tested letter by letter."""
-    runs = hay.select(F.explode(trigrams(F.col(text), n)).alias("_run")).groupBy("_run").agg(F.count("*").alias("_n"))
-    seen = needles.filter(F.length(needle) >= n).withColumn("_run", F.explode(trigrams(F.col(needle), n)))
-    rare = seen.join(runs, "_run", "left").groupBy(*needles.columns).agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_run").alias("run"))).alias("_key"))
-    rare = rare.filter("_key.n > 0").withColumn("_run", F.col("_key.run")).drop("_key")
-    return rare.join(hay.withColumn("_run", F.explode(trigrams(F.col(text), n))), "_run").filter(F.contains(F.col(text), F.col(needle))).drop("_run")
+def union_rejects(*rejects: DataFrame) -> DataFrame:
+    """Rejects of several sources (source_table, reason, row) as one table."""
+    return reduce(DataFrame.unionByName, [r.select("source_table", "reason", "row") for r in rejects])

@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import streaming
@@ -19,8 +20,10 @@ from ledgerloom.functions import columns as C
 from ledgerloom.operators import measures as M
 from ledgerloom.operators import nested, profile, quality
 from ledgerloom.operators import rows as R
-from ledgerloom.runtime import table
-from ledgerloom.sources import landing
+from ledgerloom.plans import pipeline
+from ledgerloom.runtime import cut, shared_folder, table
+from ledgerloom.skew import join_salted
+from ledgerloom.sources import landing, registry, versioned
 
 AS_OF = date(2000, 1, 1)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,12 +170,17 @@ def json_bool(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT event_id, round(floor(value) + CAST(json_extract_string(props, '$.k') AS INT) / 60.0, 6) AS hours, upper(event_type) IN ('CLICK','PURCHASE') AS billable FROM events")
 def hours_minutes(spark: SparkSession, d: str) -> DataFrame:
     h = C.hours(F.floor("value"), C.json_path(F.col("props"), "k").try_cast("int"))
-    return table(spark, d, "events").select("event_id", F.round(h, 6).alias("hours"), F.upper("event_type").isin("CLICK", "PURCHASE").alias("billable"))
+    return table(spark, d, "events").select("event_id", F.round(h, 6).alias("hours"), C.is_billable(_billing_status()).alias("billable"))
 
 
-@query("SELECT c_custkey, sha256(c_custkey || '|' || c_name || '|' || c_mktsegment) AS hash FROM customer")
+def _billing_status() -> Column:
+    """Clicks and purchases stand for time that is billed or can be."""
+    return F.when(F.col("event_type") == "click", "Billable").when(F.col("event_type") == "purchase", "HasBeenBilled").otherwise("NotBillable")
+
+
+@query("SELECT c_custkey, sha256(CAST(to_json({'c_custkey': c_custkey, 'c_mktsegment': c_mktsegment, 'c_name': c_name}) AS VARCHAR)) AS hash FROM customer")
 def row_hash(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").select("c_custkey", F.sha2(F.concat_ws("|", "c_custkey", "c_name", "c_mktsegment"), 256).alias("hash"))
+    return table(spark, d, "customer").select("c_custkey", C.row_hash("c_name", "c_custkey", "c_mktsegment").alias("hash"))
 
 
 @query("""SELECT CAST(x AS DATE) AS day, CAST(year(x) AS INT) AS year, CAST(month(x) AS INT) AS month, CAST(quarter(x) AS INT) AS quarter,
@@ -191,7 +199,7 @@ def calendar(spark: SparkSession, d: str) -> DataFrame:
 SELECT l_orderkey AS txn_id, l.n AS line_id, l.p AS part, round(l.a * CASE WHEN l_returnflag = 'R' THEN -1.0 ELSE 1.0 END * CASE WHEN l.s = 'O' THEN -1.0 ELSE 1.0 END, 2) AS posted, count(*) AS copies FROM lines GROUP BY 1, 2, 3, 4""")
 def gl_lines(spark: SparkSession, d: str) -> DataFrame:
     line = F.struct(F.col("l_linenumber").alias("Id"), F.col("l_partkey").alias("Part"), F.col("l_extendedprice").alias("Amount"), F.when(F.col("l_linestatus") == "O", "Credit").otherwise("Debit").alias("PostingType"))
-    docs = table(spark, d, "lineitem").groupBy("l_orderkey", "l_returnflag").agg(F.to_json(F.struct(F.collect_list(line).alias("Line"))).alias("payload"))
+    docs = table(spark, d, "lineitem").select("l_orderkey", "l_returnflag", F.to_json(F.struct(F.array(line).alias("Line"))).alias("payload"))
     parsed = F.from_json("payload", "Line array<struct<Id:int,Part:long,Amount:double,PostingType:string>>")
     sign = F.when(F.col("l_returnflag") == "R", -1.0).otherwise(1.0)
     each = docs.select("l_orderkey", sign.alias("sign"), F.explode(parsed["Line"]).alias("l")).filter("l.Amount is not null")
@@ -302,14 +310,22 @@ _SQL_BEST = "best AS (SELECT project_id, max(qbo_customer_id) AS qbo_customer_id
 _SQL_MATCH = f"WITH {_SQL_NUMBERS}, {_SQL_JOBS}, {_SQL_EXACT}, {_SQL_NAMES}, {_SQL_SCORED}, {_SQL_BEST}"
 
 
-def _scored(spark: SparkSession, d: str) -> DataFrame:
+def _scored(spark: SparkSession, d: str, exact: DataFrame | None = None) -> DataFrame:
+    """Pairs of projects and jobs whose names begin alike, of projects without an exact match; a crowded beginning is split."""
+    exact = _exact(spark, d) if exact is None else exact
     names = table(spark, d, "dl_silver_projects").select("project_id", C.norm_key(F.col("project_name")).alias("pname")).filter("length(pname) >= 8").distinct()
-    names = names.join(_exact(spark, d).select("project_id").distinct(), "project_id", "left_anti").withColumn("block", F.substring("pname", 1, 8))
-    jobs = _jobs(spark, d).filter("length(name) >= 8").select("qbo_customer_id", "name", F.substring("name", 1, 8).alias("block"))
-    pairs = names.join(jobs, "block").withColumn("score", C.length_affinity(F.col("pname"), F.col("name")))
+    names = names.join(exact.select("project_id").distinct(), "project_id", "left_anti").withColumn("block", F.substring("pname", 1, 8))
+    jobs = _jobs(spark, d).filter("length(name) >= 8").select("qbo_customer_id", "name", F.substring("name", 1, 8).alias("block")).distinct()
+    pairs = join_salted(names, jobs, "block").withColumn("score", C.length_affinity(F.col("pname"), F.col("name")))
     return pairs.groupBy("project_id", "qbo_customer_id").agg(F.max("score").alias("score"))
 
 
+def _matched(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Exact and scored pairs, each computed once for all that read them."""
+    exact = cut(_exact(spark, d))
+    return exact, cut(_scored(spark, d, exact))
+
+
 @query(f"{_SQL_MATCH} SELECT * FROM scored")
 def prefix_block_match(spark: SparkSession, d: str) -> DataFrame:
     return _scored(spark, d)
@@ -320,10 +336,15 @@ def unambiguous_best(spark: SparkSession, d: str) -> DataFrame:
     return R.unambiguous_best(_scored(spark, d), "project_id", "qbo_customer_id", "score", 0.8)
 
 
-def _crosswalk(spark: SparkSession, d: str) -> DataFrame:
-    exact = _exact(spark, d).select("project_id", "qbo_customer_id", F.lit(1.0).alias("confidence"), F.lit("exact_number").alias("method"))
-    fuzzy = R.unambiguous_best(_scored(spark, d), "project_id", "qbo_customer_id", "score", 0.8).select("project_id", "qbo_customer_id", F.col("score").alias("confidence"), F.lit("fuzzy_name").alias("method"))
-    best = R.by_precedence(exact.unionByName(fuzzy), ["project_id"], "method", ["manual", "exact_number", "fuzzy_name"], [F.desc("confidence"), F.asc("qbo_customer_id")])
+def _crosswalk(spark: SparkSession, d: str, matched: tuple[DataFrame, DataFrame], manual: DataFrame | None = None) -> DataFrame:
+    """One row per project: its mapping by precedence; an inactive manual one leaves it unmapped, whatever else matches."""
+    exact = matched[0].select("project_id", "qbo_customer_id", F.lit(1.0).alias("confidence"), F.lit("exact_number").alias("method"))
+    fuzzy = R.unambiguous_best(matched[1], "project_id", "qbo_customer_id", "score", 0.8).select("project_id", "qbo_customer_id", F.col("score").alias("confidence"), F.lit("fuzzy_name").alias("method"))
+    pool = exact.unionByName(fuzzy)
+    if manual is not None:
+        told = R.with_tombstones(manual, "qbo_customer_id", "active").drop("active")
+        pool = pool.unionByName(told.withColumns({"confidence": F.lit(1.0), "method": F.lit("manual")}))
+    best = R.by_precedence(pool, ["project_id"], "method", ["manual", "exact_number", "fuzzy_name"], [F.desc("confidence"), F.asc("qbo_customer_id")])
     every = table(spark, d, "dl_silver_projects").select("project_id").filter("project_id is not null").distinct()
     return every.join(best, "project_id", "left").select("project_id", "qbo_customer_id", F.coalesce("confidence", F.lit(0.0)).alias("confidence"), F.coalesce("method", F.lit("unmatched")).alias("method"), F.col("qbo_customer_id").isNotNull().alias("is_mapped"))
 
@@ -336,14 +357,27 @@ crosswalk AS (SELECT every.project_id, ranked.qbo_customer_id, coalesce(confiden
 
 @query(f"{_SQL_CROSS} SELECT * FROM crosswalk")
 def precedence_rank(spark: SparkSession, d: str) -> DataFrame:
-    return _crosswalk(spark, d)
+    return _crosswalk(spark, d, _matched(spark, d))
+
+
+_SQL_TOMB = _SQL_CROSS.replace("UNION ALL SELECT project_id, qbo_customer_id, score, 'fuzzy_name', 2 FROM best", """UNION ALL SELECT project_id, qbo_customer_id, score, 'fuzzy_name', 2 FROM best
+  UNION ALL SELECT project_id, CASE WHEN bool_and(coalesce(is_active, false)) THEN '500000000' END, 1.0, 'manual', 0 FROM dl_silver_projects WHERE project_id IS NOT NULL AND stage = 'Closeout' GROUP BY 1""")
+
+
+@query(f"{_SQL_TOMB} SELECT * FROM crosswalk")
+def crosswalk_tombstone(spark: SparkSession, d: str) -> DataFrame:
+    """Projects in closeout were mapped by hand to one client; of those no longer active the mapping is a tombstone."""
+    p = table(spark, d, "dl_silver_projects").filter("project_id is not null and stage = 'Closeout'")
+    manual = p.groupBy("project_id").agg(F.lit("500000000").alias("qbo_customer_id"), F.bool_and(F.coalesce("is_active", F.lit(False))).alias("active"))
+    return _crosswalk(spark, d, _matched(spark, d), manual)
 
 
 @query(f"{_SQL_CROSS} SELECT c.project_id, s.qbo_customer_id AS candidate, s.score, CASE WHEN s.project_id IS NULL THEN 'unmatched' ELSE 'below_confidence' END AS reason FROM crosswalk c LEFT JOIN scored s ON c.project_id = s.project_id WHERE NOT c.is_mapped")
 def review_queue(spark: SparkSession, d: str) -> DataFrame:
-    mapped = _crosswalk(spark, d).filter("is_mapped").select("project_id")
+    matched = _matched(spark, d)
+    mapped = _crosswalk(spark, d, matched).filter("is_mapped").select("project_id")
     todo = table(spark, d, "dl_silver_projects").select("project_id").filter("project_id is not null").distinct().join(mapped, "project_id", "left_anti")
-    seen = _scored(spark, d).withColumnRenamed("qbo_customer_id", "candidate")
+    seen = matched[1].withColumnRenamed("qbo_customer_id", "candidate")
     return todo.join(seen, "project_id", "left").withColumn("reason", F.when(F.col("candidate").isNull(), "unmatched").otherwise("below_confidence"))
 
 
@@ -354,17 +388,17 @@ def _code_id(c: str) -> Column:
     return F.nullif(F.regexp_extract(F.trim(c), r"^0*(\d{9})(?:\.0*)?$", 1), F.lit(""))
 
 
-@query(f"SELECT cost_code_id, count(*) AS n FROM dl_silver_budget_lines WHERE cost_code_id IS NOT NULL AND cost_code_id NOT IN (SELECT k FROM (SELECT {_CODE_ID} AS k FROM dl_silver_cost_codes) WHERE k IS NOT NULL) GROUP BY 1")
+@query("SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL) GROUP BY 1")
 def observed_not_defined(spark: SparkSession, d: str) -> DataFrame:
-    known = table(spark, d, "dl_silver_cost_codes").select(_code_id("cost_code_id").alias("cost_code_id")).filter("cost_code_id is not null").distinct()
-    seen = table(spark, d, "dl_silver_budget_lines").filter("cost_code_id is not null").groupBy("cost_code_id").agg(F.count("*").alias("n"))
-    return seen.join(known, "cost_code_id", "left_anti")
+    """Orders that no line defines, by customer."""
+    known = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).filter("o_orderkey is not null").distinct()
+    return table(spark, d, "orders").select("o_orderkey", "o_custkey").join(known, "o_orderkey", "left_anti").groupBy("o_custkey").agg(F.count("*").alias("n"))
 
 
-@query("SELECT b.project_id, count(*) AS n FROM dl_silver_budget_lines b LEFT JOIN (SELECT DISTINCT project_id FROM dl_silver_projects) p ON p.project_id = b.project_id WHERE p.project_id IS NULL AND b.project_id IS NOT NULL GROUP BY 1")
+@query("SELECT c.parent_cost_code_id, count(*) AS n FROM dl_silver_cost_codes c LEFT JOIN (SELECT DISTINCT root_cost_code_id AS k FROM dl_silver_budget_lines) b ON b.k = c.parent_cost_code_id WHERE b.k IS NULL AND c.parent_cost_code_id IS NOT NULL GROUP BY 1")
 def orphans(spark: SparkSession, d: str) -> DataFrame:
-    t = {"budget": table(spark, d, "dl_silver_budget_lines"), "projects": table(spark, d, "dl_silver_projects")}
-    return quality.referential("budget", "project_id", "projects", "project_id").rows(t).groupBy("project_id").agg(F.count("*").alias("n"))
+    t = {"codes": table(spark, d, "dl_silver_cost_codes"), "budget": table(spark, d, "dl_silver_budget_lines")}
+    return quality.referential("codes", "parent_cost_code_id", "budget", "root_cost_code_id").rows(t).groupBy("parent_cost_code_id").agg(F.count("*").alias("n"))
 
 
 @query("SELECT r.expectation, r.severity, r.failing_rows, CASE WHEN r.passed THEN 3 WHEN r.severity = 'error' THEN 1 ELSE 2 END AS severity_sort, count(*) AS n FROM dl_dq_results r CROSS JOIN (SELECT max(batch_id) AS b FROM dl_dq_results) m WHERE r.batch_id = m.b GROUP BY ALL")
@@ -425,10 +459,16 @@ def null_safe_merge(spark: SparkSession, d: str) -> DataFrame:
     return R.upsert(tgt, src, ["k"], [F.desc("name")])
 
 
-@query("SELECT parent, child, depth FROM (SELECT parent_customer_id AS parent, qbo_customer_id AS child, CASE WHEN parent_customer_id IS NULL THEN 0 ELSE 1 END AS depth FROM dl_silver_qbo_customers) GROUP BY ALL")
+@query("SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS parent_id, CAST(c_nationkey AS VARCHAR) AS project_id FROM customer WHERE c_mktsegment = 'BUILDING'")
 def parent_expansion(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "dl_silver_qbo_customers")
-    return rows.select(F.col("parent_customer_id").alias("parent"), F.col("qbo_customer_id").alias("child"), F.col("parent_customer_id").isNotNull().cast("int").alias("depth")).dropDuplicates()
+    """The (parent, project) pairs that the calls of a child list need, from the parents as they landed."""
+    raw = landing.as_raw(table(spark, d, "customer"), "c_custkey", "customer", F.lit(datetime(2000, 1, 1)), "b1", F.col("c_nationkey"))
+    return registry.parent_ids(raw, ("c_mktsegment", "BUILDING"))
+
+
+@query("SELECT DISTINCT _key AS parent_id, _project_id AS project_id FROM procore_budget_detail_row WHERE _key IS NOT NULL")
+def landed_parents(spark: SparkSession, d: str) -> DataFrame:
+    return registry.parent_ids(table(spark, d, "procore_budget_detail_row"))
 
 
 # --- aggregation ---------------------------------------------------------------------------------
@@ -546,9 +586,8 @@ def trailing_revenue(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT project_id, n_rows, position FROM (SELECT project_id, count(*) OVER (PARTITION BY office_name) AS n_rows, dense_rank() OVER (PARTITION BY office_name ORDER BY project_id) AS position FROM (SELECT DISTINCT project_id, office_name FROM dl_silver_projects))")
 def counted_window(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("office_name")
     rows = table(spark, d, "dl_silver_projects").select("project_id", "office_name").distinct()
-    return rows.select("project_id", F.count("*").over(w).alias("n_rows"), F.dense_rank().over(w.orderBy("project_id")).cast("long").alias("position"))
+    return R.ranked_in(rows, "office_name", "project_id").select("project_id", "n_rows", "position")
 
 
 # --- sorting, limits, sets -----------------------------------------------------------------------
@@ -592,7 +631,8 @@ UNION ALL SELECT 'orders.o_totalprice.range', 'warn', (SELECT count(*) FROM orde
 UNION ALL SELECT 'lineitem.l_discount.range', 'error', (SELECT count(*) FROM lineitem WHERE l_discount < 0 OR l_discount > 0.05)
 UNION ALL SELECT 'lineitem.l_shipdate.not_null', 'error', (SELECT count(*) FROM lineitem WHERE l_shipdate IS NULL)
 UNION ALL SELECT 'customer.negative', 'warn', (SELECT count(*) FROM customer WHERE c_acctbal < 0)
-UNION ALL SELECT 'customer.nowhere.not_null', 'error', -1"""
+UNION ALL SELECT 'customer.nowhere.not_null', 'error', -1
+UNION ALL SELECT 'customer.unreadable', 'warn', -1"""
 
 
 @query(f"SELECT *, failing_rows = 0 AS passed FROM ({_SUITE_SQL})")
@@ -602,6 +642,7 @@ def dq_results(spark: SparkSession, d: str) -> DataFrame:
     suite = [
         q.unique_key("orders", ["o_orderkey"]), q.referential("orders", "o_custkey", "customer", "c_custkey"), q.in_range("orders", "o_totalprice", 1000, 400000, "warn"),
         q.in_range("lineitem", "l_discount", 0, 0.05), q.not_null("lineitem", "l_shipdate"), q.holds("customer.negative", "customer", F.col("c_acctbal") < 0, "warn"), q.not_null("customer", "nowhere"),
+        q.holds("customer.unreadable", "customer", F.assert_true(F.col("c_custkey") < 0).isNotNull(), "warn"),  # throws at every row
     ]
     return q.run_suite(spark, t, suite).select("expectation", "severity", "failing_rows", "passed")
 
@@ -648,19 +689,119 @@ def weekly_tumbling(spark: SparkSession, d: str) -> DataFrame:
     return streaming.weekly(rows, "ts", "value", ["event_type"]).withColumn("amount", F.round(F.col("amount").cast("double"), 2))
 
 
-@query("SELECT '|' || 'x' AS probe, count(*) AS n FROM nation WHERE FALSE")
+@query("SELECT _source_endpoint AS endpoint, count(*) AS n FROM procore_budget_detail_row GROUP BY 1")
 def empty_typed(spark: SparkSession, d: str) -> DataFrame:
-    none = landing.empty(spark, landing.RAW)
-    return none.agg(F.count("*").alias("n")).select(F.concat_ws("|", F.lit(""), F.lit("x")).alias("probe"), "n")
+    """Landed rows appended to the empty relation of their layout, which fixes names and types."""
+    landed = R.conform(table(spark, d, "procore_budget_detail_row"), landing.RAW)
+    return landing.empty(spark, landing.RAW).unionByName(landed).groupBy(F.col("_source_endpoint").alias("endpoint")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT CAST(c_custkey AS VARCHAR) || '|' AS merge_key, c_name AS name FROM customer")
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS key, CAST(c_nationkey AS VARCHAR) AS project, CAST(c_custkey AS VARCHAR) || '|' || CAST(c_nationkey AS VARCHAR) AS merge_key, 'customer' AS endpoint, TIMESTAMP '2000-01-01 00:00:00' AS landed_at, c_name AS name, 'b1' AS batch,
+  sha256(CAST(to_json({'c_custkey': c_custkey, 'c_mktsegment': c_mktsegment, 'c_name': c_name, 'c_nationkey': c_nationkey}) AS VARCHAR)) AS hash FROM customer""")
 def raw_rows(spark: SparkSession, d: str) -> DataFrame:
-    raw = landing.as_raw(table(spark, d, "customer"), "c_custkey", "customer", F.lit(datetime(2000, 1, 1)), "b1")
-    return raw.select(F.col("_merge_key").alias("merge_key"), C.json_path(F.col("payload"), "c_name").alias("name"))
+    rows = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    raw = landing.as_raw(rows, "c_custkey", "customer", F.lit(datetime(2000, 1, 1)), "b1", F.col("c_nationkey"))
+    return raw.select(
+        F.col("_key").alias("key"), F.col("_project_id").alias("project"), F.col("_merge_key").alias("merge_key"), F.col("_source_endpoint").alias("endpoint"), F.col("_ingested_at").cast("timestamp_ntz").alias("landed_at"),
+        C.json_path(F.col("payload"), "c_name").alias("name"), F.col("_batch_id").alias("batch"), F.col("_row_hash").alias("hash"),
+    )
 
 
-@query()
+_DATED = f"""dated AS (SELECT r_name AS region, CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start, SUM(CAST(o_totalprice AS DECIMAL(18,4))) AS v
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2)"""
+
+
+def _dated_model(spark: SparkSession, d: str) -> M.Model:
+    n, r, c = table(spark, d, "nation"), table(spark, d, "region"), table(spark, d, "customer")
+    where = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("r_name").alias("region"))
+    who = c.join(where, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("project_key"), "region")
+    month = F.trunc("o_orderdate", "MM")
+    sales = table(spark, d, "orders").select(F.col("o_custkey").alias("project_key"), F.to_date("o_orderdate").alias("day"), month.alias("month_start"), F.date_format(month, "MMM yyyy").alias("month_year"), F.col("o_totalprice").cast("decimal(18,4)").alias("amount"))
+    m = [
+        M.total("sold", "sales", "amount"), M.prior_month("sold_before", "sold"), M.derived("change", ("sold", "sold_before"), F.col("sold") - F.col("sold_before")), M.running("sold_so_far", "sold"),
+        M.trailing("sold_quarter", "sold", 3, "months"), M.trailing("sold_90_days", "sold", 90), M.label("pace", "change", [(1e6, "rising"), (0, "steady")], "falling", "unknown"),
+    ]
+    return M.Model({"sales": sales}, m, {"projects": who}, {"sales": [("projects", "project_key", "project_key")]})
+
+
+_MONEY = lambda c: F.round(F.col(c).cast("decimal(28,4)"), 2).cast("double").alias(c)
+
+
+@query(f"""WITH {_DATED} SELECT a.region, a.month_start, CAST(round(a.v, 2) AS DOUBLE) AS sold, CAST(round(b.v, 2) AS DOUBLE) AS sold_before,
+  CASE WHEN a.v - b.v IS NULL THEN 'unknown' WHEN a.v - b.v >= 1000000 THEN 'rising' WHEN a.v - b.v >= 0 THEN 'steady' ELSE 'falling' END AS pace
+FROM dated a LEFT JOIN dated b ON a.region = b.region AND b.month_start = a.month_start - INTERVAL 1 MONTH WHERE a.month_start >= DATE '1996-01-01'""")
+def measure_prior_month(spark: SparkSession, d: str) -> DataFrame:
+    """A month's prior one stands outside the filter, and still counts."""
+    out = _dated_model(spark, d).query(["sold", "sold_before", "pace"], ["region", "month_start"], F.col("month_start") >= date(1996, 1, 1), {"month_start"}, date="month_start")
+    return out.select("region", "month_start", _MONEY("sold"), _MONEY("sold_before"), "pace")
+
+
+@query(f"""WITH {_DATED}, total AS (SELECT month_start, SUM(v) AS v FROM dated WHERE region = 'ASIA' GROUP BY 1)
+SELECT month_start, CAST(round(SUM(v) OVER (ORDER BY month_start ROWS UNBOUNDED PRECEDING), 2) AS DOUBLE) AS sold_so_far,
+  CAST(round(SUM(v) OVER (ORDER BY month_start RANGE BETWEEN INTERVAL 2 MONTH PRECEDING AND CURRENT ROW), 2) AS DOUBLE) AS sold_quarter FROM total""")
+def measure_trailing(spark: SparkSession, d: str) -> DataFrame:
+    out = _dated_model(spark, d).query(["sold_so_far", "sold_quarter"], ["month_start"], F.col("region") == "ASIA", {"region"}, date="month_start")
+    return out.select("month_start", _MONEY("sold_so_far"), _MONEY("sold_quarter"))
+
+
+@query("SELECT CAST(o_orderdate AS DATE) AS day, CAST(round(SUM(SUM(CAST(o_totalprice AS DECIMAL(18,4)))) OVER (ORDER BY CAST(o_orderdate AS DATE) RANGE BETWEEN INTERVAL 89 DAY PRECEDING AND CURRENT ROW), 2) AS DOUBLE) AS sold_90_days FROM orders GROUP BY 1")
+def measure_trailing_days(spark: SparkSession, d: str) -> DataFrame:
+    return _dated_model(spark, d).query(["sold_90_days"], ["day"], date="day").select("day", _MONEY("sold_90_days"))
+
+
+@query("SELECT DISTINCT strftime(date_trunc('month', o_orderdate), '%b %Y') AS month_year, CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start FROM orders")
+def slicer_months(spark: SparkSession, d: str) -> DataFrame:
+    return _dated_model(spark, d).slicer("month_year", "month_start")
+
+
+@query(f"SELECT CAST(round(SUM(CAST(o_totalprice AS DECIMAL(18,4))), 2) AS DOUBLE) AS open_items, count(*) AS documents FROM orders WHERE o_orderstatus = 'O'")
+def card(spark: SparkSession, d: str) -> DataFrame:
+    return model(spark, d).query(["open_items", "documents"]).select(_MONEY("open_items"), "documents")
+
+
+@query(f"""SELECT 'raw_customer' AS step, count(*) AS n, 'done' AS status FROM customer UNION ALL SELECT 'projects', count(*), 'done' FROM customer
+UNION ALL SELECT 'schedule', count(*), 'done' FROM ({_WIP}) UNION ALL SELECT 'checks', 3, 'done'""")
+def pipeline_run(spark: SparkSession, d: str) -> DataFrame:
+    """Lands customers as JSON lines, merges them, builds two tables on them, checks these and moves the mark."""
+    folder, now = f"{shared_folder(spark)}/pipeline-{uuid4().hex}", datetime(2000, 1, 1)
+    landing.write_landing(landing.as_raw(table(spark, d, "customer"), "c_custkey", "customer", F.lit(now), "b1"), f"{folder}/landing", "b1", "raw_customer")
+    landed = landing.read_landing(spark, f"{folder}/landing").drop("table_name")
+    n = versioned.merge_table(landed, f"{folder}/raw_customer", ["_merge_key", "_source_endpoint"], [F.desc("_ingested_at"), F.desc("_row_hash")])
+    get = lambda name, kind: C.json_path(F.col("payload"), name).try_cast(kind)
+    builders = [
+        pipeline.Builder("schedule", lambda p: _wip(spark, d).join(p.select("project_key"), "project_key", "left_semi"), ("projects",)),
+        pipeline.Builder("projects", lambda raw: raw.select(get("c_custkey", "bigint").alias("project_key"), get("c_name", "string").alias("name")), ("raw_customer",)),
+    ]
+    suite = lambda _: [quality.unique_key("projects", ["project_key"]), quality.not_null("projects", "name"), quality.referential("schedule", "project_key", "projects", "project_key")]
+    out = pipeline.run(spark, builders, {"raw_customer": versioned.read_table(spark, f"{folder}/raw_customer")}, folder, "b1", now, suite, [("raw_customer", "customer", now)])
+    return spark.createDataFrame([("raw_customer", n, "done"), *out.log], "step string, n long, status string")
+
+
+# every readable record of a payload, whatever wraps it, and the objects of a member, be it one or a list
+_RECORDS = """landed AS (SELECT _key, TRY_CAST(payload AS JSON) AS j FROM procore_budget_detail_row WHERE payload IS NOT NULL),
+plain AS (SELECT _key, CASE WHEN json_type(j) = 'VARCHAR' THEN TRY_CAST(j ->> '$' AS JSON) ELSE j END AS j FROM landed WHERE j IS NOT NULL),
+opened AS (SELECT _key, CASE WHEN json_type(j) = 'OBJECT' AND json_type(j -> 'id') IS NULL THEN coalesce(j -> 'data', j -> 'items', j) ELSE j END AS j FROM plain WHERE j IS NOT NULL),
+record AS (SELECT _key, unnest(CASE WHEN json_type(j) = 'ARRAY' THEN json_extract(j, '$[*]') ELSE [j] END) AS r FROM opened)"""
+
+
+def _each(x: str) -> str:
+    return f"unnest(CASE json_type({x}) WHEN 'ARRAY' THEN json_extract({x}, '$[*]') WHEN 'OBJECT' THEN [{x}] ELSE [] END)"
+
+
+def _sql_id(x: str) -> str:
+    return f"nullif(regexp_replace(trim({x} ->> 'id'), '^([0-9]+)[.]0*$', '\\1'), '')"
+
+
+_P3_FOUND = f"""WITH {_RECORDS}, item AS (SELECT r, {_each("r -> 'wbs_code' -> 'segment_items'")} AS i FROM record),
+tie AS (SELECT 'budget_forecast' AS kind, {_sql_id('r')} AS parent_id, {_sql_id('f')} AS child_id FROM (SELECT r, {_each("r -> 'budget_forecast'")} AS f FROM record)
+UNION SELECT 'segment_item', {_sql_id('r')}, {_sql_id('i')} FROM item
+UNION SELECT 'segment', {_sql_id('i')}, {_sql_id('s')} FROM (SELECT i, {_each("i -> 'segment'")} AS s FROM item)
+UNION SELECT 'attribute_item', {_sql_id('r')}, {_sql_id('a')} FROM (SELECT r, {_each("r -> 'wbs_code' -> 'attribute_items'")} AS a FROM record)
+UNION SELECT 'customer', nullif(trim(parentref.value), ''), nullif(trim(qbo_customer_id), '') FROM dl_silver_qbo_customers)
+SELECT DISTINCT kind, parent_id, child_id FROM tie WHERE parent_id IS NOT NULL AND child_id IS NOT NULL"""
+
+
+@query(_P3_FOUND)
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return nested.parent_child_ties(table(spark, d, "procore_budget_detail_row"), table(spark, d, "dl_silver_qbo_customers"))
 
@@ -699,6 +840,16 @@ def _profiles(spark: SparkSession, d: str) -> list[profile.Profile]:
     return profile.load_profiles(table(spark, d, "dim_project"), table(spark, d, "dl_dq_results"))
 
 
+@query()
+def p3_rejects(spark: SparkSession, d: str) -> DataFrame:
+    return nested.unreadable(table(spark, d, "procore_budget_detail_row"), "_key", "payload", "procore_budget_detail_row")
+
+
+@query()
+def p5_violations(spark: SparkSession, d: str) -> DataFrame:
+    return reduce(DataFrame.unionByName, [p.violations() for p in _profiles(spark, d)])
+
+
 @query()
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return profile.changed_columns(_profiles(spark, d))
@@ -714,9 +865,30 @@ def p5_changes(spark: SparkSession, d: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [p.changes() for p in _profiles(spark, d)])
 
 
-@query()
+def _sql_mask(x: str) -> str:
+    for pattern, put in ((r"\p{Lu}+", "A"), (r"\p{Ll}+", "a"), ("[0-9]", "9"), ("9+[.]9+", "9+"), (r"\bAa(?: Aa\b)+", "Aa+"), (r"\bA(?: A\b)+", "A+"), (r"\ba(?: a\b)+", "a+")):
+        x = f"regexp_replace({x}, '{pattern}', '{put}', 'g')"
+    return x
+
+
+_TEXTS = {"dim_project": ("_batch_id", "projectname projectnumber projectstatus projecttype office region city statecode".split()), "dl_dq_results": ("batch_id", "expectation table_name severity description failing_rows".split())}
+_ALL = {"dim_project": "projectname projectnumber projectstatus projecttype office region city statecode isactive startdate completiondate originalcontract retainagepercent hasprimecontract isincrosswalk matchconfidence".split(), "dl_dq_results": "expectation table_name severity description failing_rows passed".split()}
+_MASKED = " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS column_name, {_sql_mask(f'CAST({c} AS VARCHAR)')} AS mask FROM {t} WHERE {load} IS NOT NULL AND {c} IS NOT NULL" for t, (load, cs) in _TEXTS.items() for c in cs)
+_MASKS = f"""SELECT table_name, column_name, mask, n AS "values", round(n / whole, 9) AS share, n / whole >= 0.01 AS dominant FROM (
+SELECT table_name, column_name, mask, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY table_name, column_name) AS DOUBLE) AS whole FROM ({_MASKED}) GROUP BY 1, 2, 3)"""
+_NAN = lambda c: f"count(CASE WHEN isnan({c}) THEN NULL ELSE {c} END)" if c in ("originalcontract", "retainagepercent", "matchconfidence") else f"count({c})"
+_COUNTED = " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS column_name, {_TEXTS[t][0]} AS batch_id, count(*) AS row_count, count(*) - {_NAN(c)} AS nulls FROM {t} WHERE {_TEXTS[t][0]} IS NOT NULL GROUP BY 3" for t, cs in _ALL.items() for c in cs)
+
+
+@query(_COUNTED)
+def p5_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The columns of the profile that are no estimates."""
+    return reduce(DataFrame.unionByName, [p.loads.select("table_name", "column_name", "batch_id", "row_count", "nulls") for p in _profiles(spark, d)])
+
+
+@query(_MASKS)
 def p5_masks(spark: SparkSession, d: str) -> DataFrame:
-    return reduce(DataFrame.unionByName, [p.masks() for p in _profiles(spark, d)])
+    return reduce(DataFrame.unionByName, [p.masks() for p in _profiles(spark, d)]).withColumn("share", F.round("share", 9))
 
 
 # --- facts and dimensions put together from the operators ----------------------------------------
@@ -760,7 +932,7 @@ def fct_cost_transaction(spark: SparkSession, d: str) -> DataFrame:
   coalesce(CAST(round(SUM(CASE WHEN upper(event_type) IN ('CLICK','PURCHASE') THEN CAST(value AS DECIMAL(18,4)) END), 2) AS DOUBLE), 0.0) AS billable FROM events GROUP BY 1, 2""")
 def fct_labour(spark: SparkSession, d: str) -> DataFrame:
     value = F.col("value").cast("decimal(18,4)")
-    billable = F.sum(F.when(F.upper("event_type").isin("CLICK", "PURCHASE"), value))
+    billable = F.sum(F.when(C.is_billable(_billing_status()), value))
     return table(spark, d, "events").groupBy(F.col("user_id").alias("worker"), F.trunc("ts", "MM").alias("month_start")).agg(
         F.count("*").alias("entries"), F.round(F.sum(value), 2).cast("double").alias("hours"), F.coalesce(F.round(billable, 2).cast("double"), F.lit(0.0)).alias("billable")
     )
@@ -772,7 +944,7 @@ _SNAP = "SELECT project_key, DATE '1999-12-01' AS month_start, contract FROM ({w
 @query(_SNAP.format(w=_WIP))
 def month_snapshots(spark: SparkSession, d: str) -> DataFrame:
     """Monthly states kept by an upsert on project and month: a rerun of a month replaces it, other months stay."""
-    wip = _wip(spark, d)
+    wip = cut(_wip(spark, d))  # read four times
     open_ = wip.filter("billed > contract")
     state = lambda rows, m, x: rows.select("project_key", F.lit(m).alias("month_start"), (F.col("contract") + x).alias("contract"))
     kept = state(wip, date(1999, 12, 1), 0).unionByName(state(open_, date(2000, 1, 1), 0))
@@ -783,4 +955,4 @@ def month_snapshots(spark: SparkSession, d: str) -> DataFrame:
 def sort_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Whether a column to sort by stands for one label each."""
     rows = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return rows.groupBy(F.col("n_regionkey").alias("sort_key")).agg(F.count_distinct("r_name").alias("labels"), (F.min("r_name") == F.max("r_name")).alias("one_to_one"))
+    return M.sort_pairs(rows, "r_name", "n_regionkey")

@@ -49,7 +49,8 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{named.rstrip('/')}/ledgerloom-{sc.applicationId}"
 
 
-def _path(spark: SparkSession, path: str):
+def path_of(spark: SparkSession, path: str):
+    """The file system a path lies on, and the path as that system has it."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
@@ -73,11 +74,11 @@ def cut(df: DataFrame) -> DataFrame:
 def forget(df: DataFrame) -> None:
     """Remove the files of a result of ``cut``; harmless for any other."""
     if at := getattr(df, "cut_at", None):
-        fs, p = _path(df.sparkSession, at)
+        fs, p = path_of(df.sparkSession, at)
         fs.delete(p, True)
 
 
 def clear(spark: SparkSession) -> None:
     """Remove all intermediate tables of this session. Results that were not yet written need them."""
-    fs, p = _path(spark, shared_folder(spark))
+    fs, p = path_of(spark, shared_folder(spark))
     fs.delete(p, True)

@@ -44,3 +44,21 @@ def join_unique(rows: DataFrame, keyed: DataFrame, keys: list[str], total: int)
     hot = F.broadcast(rows.sparkSession.createDataFrame(hot, rows.select(*keys).schema))  # HOT_PARTS rows at most
     near = rows.join(F.broadcast(keyed.join(hot, keys, "left_semi")), keys)
     return near.unionByName(rows.join(hot, keys, "left_anti").join(keyed, keys))
+
+
+def join_salted(left: DataFrame, right: DataFrame, key: str, salts: int = 32) -> DataFrame:
+    """Inner join of which keys may repeat on both sides. Keys with more than a thousandth of the left rows
+    are split: each of their left rows gets one of ``salts`` parts, each of their right rows goes to all."""
+    counts = left.groupBy(key).agg(F.count("*").alias("_n"))
+    total = left.count()
+    if total <= HOT_ROWS:
+        return left.join(right, key)
+    floor = max(total // HOT_PARTS, HOT_ROWS)
+    hot = counts.filter(F.col("_n") > floor).select(key).limit(HOT_PARTS + 1).collect()
+    if not hot:
+        return left.join(right, key)
+    hot = F.broadcast(left.sparkSession.createDataFrame(hot, left.select(key).schema))  # HOT_PARTS rows at most
+    near = left.join(hot, key, "left_semi").withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    spread = right.join(hot, key, "left_semi").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    near = near.join(spread, [key, "_salt"]).drop("_salt")
+    return near.unionByName(left.join(hot, key, "left_anti").join(right, key))

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import json
-from datetime import datetime, timedelta
+from collections.abc import Callable
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.rows import merge_table
+from ledgerloom.runtime import path_of
+from ledgerloom.sources.versioned import merge_table, replace_table
 
 # The layouts every landed and control table has.
 RAW = "_key string, _project_id string, _merge_key string, _source_endpoint string, _ingested_at timestamp, payload string, _batch_id string, _row_hash string"
@@ -44,14 +46,9 @@ def as_raw(rows: DataFrame, key: str, endpoint: str, at: Column, batch: str, pro
     )
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
 def newest_batch(spark: SparkSession, root: str) -> str:
     """The batch folder that sorts last; only folder names are listed."""
-    fs, p = _fs(spark, root)
+    fs, p = path_of(spark, root)
     names = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
     if not names:
         raise FileNotFoundError(f"no batch below {root}")
@@ -59,15 +56,17 @@ def newest_batch(spark: SparkSession, root: str) -> str:
 
 
 def read_landing(spark: SparkSession, root: str, batch: str | None = None) -> DataFrame:
-    """All records of one batch with ``table_name``, taken from the file's name; unreadable lines are dropped by the schema as nulls and filtered."""
+    """All records of one batch with ``table_name``: the name of a file ``<table>.jsonl``, or of a folder of
+    that name as ``write_landing`` makes it. Lines that hold no payload, the unreadable ones among them, are dropped."""
     at = f"{root}/{batch or newest_batch(spark, root)}"
-    rows = spark.read.schema(RAW).option("mode", "PERMISSIVE").json(f"{at}/*.jsonl")
-    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.jsonl$", 1)
-    return rows.withColumn("table_name", name).filter("payload is not null")
+    rows = spark.read.schema(RAW).option("mode", "PERMISSIVE").option("recursiveFileLookup", True).json(at)
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.jsonl(?:/[^/]*)?$", 1)
+    return rows.withColumn("table_name", name).filter("payload is not null and table_name != ''")
 
 
-def write_landing(rows: DataFrame, root: str, batch: str) -> None:
-    rows.write.mode("overwrite").json(f"{root}/{batch}")
+def write_landing(rows: DataFrame, root: str, batch: str, table: str) -> None:
+    """One table's records of a batch as JSON lines below ``root/batch/table.jsonl``; a rerun replaces them."""
+    rows.write.mode("overwrite").json(f"{root}/{batch}/{table}.jsonl")
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -75,6 +74,11 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
+def replace_from_csv(spark: SparkSession, path: str, schema: str, table: str, keys: list[str]) -> int:
+    """Replaces a table by a CSV's rows, its columns too where they have changed; gives the version."""
+    return replace_table(read_csv(spark, path, schema), table, keys)
+
+
 def high_water(rows: DataFrame, time: str) -> datetime | None:
     """The newest readable time; None for none, so that the mark then stays where it is."""
     return rows.agg(F.max(F.try_to_timestamp(F.col(time)))).first()[0]
@@ -96,6 +100,35 @@ def write_mark(spark: SparkSession, path: str, name: str, endpoint: str, mark: d
         merge_table(spark.createDataFrame([(name, endpoint, mark, batch, now)], WATERMARK), path, ["table_name", "endpoint"], [F.desc("updated_at")])
 
 
+def parse_time(text: str | None) -> datetime | None:
+    """A time with Z, an offset, or none (then UTC), as UTC; None for what is no time."""
+    try:
+        at = datetime.fromisoformat((text or "").strip().replace("Z", "+00:00"))
+    except ValueError:
+        return None
+    return (at if at.tzinfo else at.replace(tzinfo=UTC)).astimezone(UTC)
+
+
+def rotate_token(spark: SparkSession, path: str, source: str, refresh: Callable[[str], tuple[str, str]], batch: str, now: datetime) -> str:
+    """The access token of a source whose refresh token changes at every use. ``refresh`` trades the newest
+    stored token for (access, next refresh token); the next is stored before the access token is handed out,
+    so a pull that fails can't lose it."""
+    held = newest_token(spark.read.parquet(path), source).select("refresh_token").collect()
+    if not held:
+        raise LookupError(f"no token of {source}")
+    access, following = refresh(held[0][0])
+    spark.createDataFrame([(source, following, now, batch)], TOKEN).write.mode("append").parquet(path)
+    return access
+
+
+def write_diagnostics(spark: SparkSession, path: str, tables: dict[str, DataFrame], counts: dict[str, int] | None = None) -> dict:
+    """Row counts and schemas of tables as one JSON text at ``path``; counts that are known aren't taken again."""
+    counts = counts or {}
+    found = {n: {"rows": counts[n] if n in counts else df.count(), "schema": df.schema.jsonValue()} for n, df in tables.items()}
+    spark.createDataFrame([(json.dumps(found, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return found
+
+
 def newest_token(tokens: DataFrame, source: str) -> DataFrame:
     return tokens.filter(F.col("source") == source).orderBy(F.desc("obtained_at"), F.desc("batch_id")).limit(1)
 

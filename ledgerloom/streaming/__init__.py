@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.rows import merge_table
 from ledgerloom.sources.landing import RAW
+from ledgerloom.sources.versioned import merge_table
 
 
 def land_available(spark: SparkSession, root: str, path: str, checkpoint: str) -> None:
-    """Merges every record file that hasn't been merged yet into the table at ``path``, then stops."""
+    """Merges every record file that hasn't been merged yet into the versioned table at ``path``, then stops.
+    A batch rewrites only the buckets it touches; readers see the table before or after it."""
     rows = spark.readStream.schema(RAW).option("recursiveFileLookup", True).json(root).filter("payload is not null")
 
     def merge(batch: DataFrame, _: int) -> None:

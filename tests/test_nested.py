@@ -45,7 +45,7 @@ def test_ids_are_trimmed_and_decimal_zeros_dropped(spark):
 
 def test_nested_lists_keep_distinct_positions():
     rows = nested.pivot({"id": 1, "a": [["x", "y", "z"], ["w"]]})
-    assert [(r[1], r[6].get("value")) for r in rows if r[0] == "a"] == [("0", "x"), ("1", "y"), ("2", "z"), ("3", "w")]
+    assert [(r[1], r[3], r[6].get("value")) for r in rows if r[0] == "a"] == [("0_0", 0, "x"), ("0_1", 1, "y"), ("0_2", 2, "z"), ("1_0", 3, "w")]
 
 
 def test_round_trip_of_links_and_values(spark):
@@ -83,3 +83,34 @@ def test_customers_go_through_flatten(spark):
     assert {(r.record_key, r.table, r.parent_key, r.id) for r in flat.collect()} == {("2", "", None, "1"), ("2", "customer", "", "2"), ("3", "", None, None), ("3", "customer", "", "3")}
     plan = nested.customer_ties(rows)._jdf.queryExecution().toString()
     assert "MapInPandas" in plan
+
+
+def test_a_record_with_a_member_called_like_a_wrapper_stays(spark):
+    rows = [(f"k{i}", json.dumps(x)) for i, x in enumerate(({"name": "x", "total": 5, "items": [{"id": 1}, {"id": 2}]}, {"items": [{"id": 3}], "total": 1, "page": None}))]
+    flat = nested.flatten(spark.createDataFrame(rows, "_key string, payload string"), "_key", "payload").collect()
+    assert {(r.record_key, r.table, r.row_key, r.parent_key, r.id) for r in flat} == {("k0", "", "", None, None), ("k0", "items", "0", "", "1"), ("k0", "items", "1", "", "2"), ("k1", "", "", None, "3")}
+    assert next(r.fields for r in flat if r.record_key == "k0" and not r.table) == {"name": "x", "total": "5"}
+
+
+def test_any_depth(spark):
+    n = 20_000
+    assert nested.deep("[" * n + "]" * n) is not None
+    text = '{"id":1,"a":' * 300 + '{"id":2,"b":[[["x"]]]}' + "}" * 300
+    assert nested.deep(text) == json.loads(text)
+    many = '{"a":' * 3000 + '{"id":7}' + "}" * 3000
+    rows = nested.pivot(nested.deep(many))
+    assert len(rows) == 3001 and rows[-1][4] == "7" and rows[-1][2] == rows[-2][1]
+    for value in (ROW, [], {}, [1, -2.5e3, "a\\\"\u00e9", None, True, {"x": []}], "text", 7):
+        assert nested.deep(json.dumps(value, indent=1)) == value
+    for bad in ("", "[", "{", "[1,]", "[1 2]", '{"a" 1}', '{"a":}', "{1:2}", "1 2", "]", "[}", "nul", '{"a":1,}', "[,1]", '{"a":1 "b":2}'):
+        try:
+            nested.deep(bad)
+        except ValueError:
+            continue
+        raise AssertionError(bad)
+
+
+def test_unreadable_payloads_are_kept(spark):
+    rows = spark.createDataFrame([("a", None), ("b", " "), ("c", "{"), ("d", "[]"), ("e", json.dumps(ROW)), ("f", "7"), ("g", "null"), (None, "x")], "_key string, payload string")
+    got = {(r.reason, json.loads(r.row)["key"]) for r in nested.unreadable(rows, "_key", "payload", "t").collect()}
+    assert got == {("no payload", "a"), ("no payload", "b"), ("not JSON", "c"), ("no record", "d"), ("no record", "f"), ("no record", "g"), ("not JSON", None)}

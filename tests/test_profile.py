@@ -53,7 +53,7 @@ def test_profile_counts(spark):
 
 
 def test_masks(spark):
-    cases = {"Big Old Mill": "Aa+", "23-1234567": "99-9+", "BIG MILL": "A+", "x9": "a9", "12.50": "9+", "": ""}
+    cases = {"Big Old Mill": "Aa+", "23-1234567": "99-9999999", "123456": "999999", "BIG MILL": "A+", "x9": "a9", "12.50": "9+", "": ""}
     df = spark.createDataFrame([(k,) for k in cases], "v string").select("v", mask(F.col("v")).alias("m"))
     assert {r.v: r.m for r in df.collect()} == cases
 
@@ -94,3 +94,15 @@ def test_small_loads_and_few_loads(spark):
         assert _found(spark, rows) == {("kind", "L01")}
     assert _found(spark, _rows(loads=2)) == set()
     assert _found(spark, [(*r[:3], "z" if r[0] == "L01" else r[3], *r[4:]) for r in _rows(loads=2)]) == {("kind", "L00"), ("kind", "L01")}
+
+
+def test_an_id_of_the_wrong_length_is_a_violation(spark):
+    rows = [("a", f"{100000000 + i}", 1.0) for i in range(300)] + [("b", "12345", 1.0), ("b", "100000999", 2.0)]
+    p = Profile(spark.createDataFrame(rows, "load string, code string, mask double"), "t", "load", ["code", "mask"])
+    assert [tuple(r) for r in p.violations().collect()] == [("t", "code", "b", "99999", 1, 0.5, "12345")]
+
+
+def test_bounds_are_parameters(spark):
+    rows = _rows(change=lambda r: r.update(n=None))
+    found = lambda **kw: {(r.column_name, r.batch_id) for r in Profile(spark.createDataFrame(rows, SCHEMA), "t", "load", ["n", "code"], **kw).changes().collect()}
+    assert found() == {("n", "L05")} and found(shift=0.9) == set() and found(sigmas=1e6) == set()
