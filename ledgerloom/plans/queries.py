@@ -207,6 +207,16 @@ def gl_lines(spark: SparkSession, d: str) -> DataFrame:
     return each.groupBy(F.col("l_orderkey").alias("txn_id"), F.col("l.Id").alias("line_id"), F.col("l.Part").alias("part"), posted.alias("posted")).agg(F.count("*").alias("copies"))
 
 
+_KEYED = {"dl_silver_projects": "project_number", "dl_silver_qbo_customers": "parent_customer_id", "dl_silver_vendors": "vendor_name", "dl_silver_qbo_vendors": "vendor_name", "dl_silver_cost_codes": "cost_code", "dl_silver_budget_lines": "wbs_code_id"}
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS source_table, '{c}' AS reason, count(*) AS n FROM {t} WHERE nullif(regexp_replace({c}, '^ +| +$', '', 'g'), '') IS NULL HAVING count(*) > 0" for t, c in _KEYED.items()))
+def rejects_union(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of six sources that lack what they are keyed by, with whole rows kept as JSON, counted here."""
+    bad = [R.split_rejects(table(spark, d, t), {c: F.nullif(F.trim(c), F.lit("")).isNotNull()}, t)[1] for t, c in _KEYED.items()]
+    return R.union_rejects(*bad).groupBy("source_table", "reason").agg(F.count("*").alias("n"))
+
+
 # --- joins ---------------------------------------------------------------------------------------
 
 _PROJECT_DIM = """SELECT c_custkey AS project_key, coalesce(c_name, 'Unknown') AS project_name, coalesce(n_name, 'Unassigned') AS office, coalesce(r_name, 'Unassigned') AS region, coalesce(k.contract, 0.0) AS contract, k.project_key IS NOT NULL AS has_contract

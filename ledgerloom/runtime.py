@@ -61,11 +61,14 @@ def cut(df: DataFrame) -> DataFrame:
     The result has no lineage but its files, so a lost executor costs no recomputation of what came
     before, later readers fetch only the columns they use, and nothing is computed twice as by an
     eager checkpoint. ``forget`` removes the files of a result that nobody reads any more,
-    ``clear`` those of the whole session.
+    ``clear`` those of the whole session; what is left goes when the application ends.
     """
     spark = df.sparkSession
-    at = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    folder = shared_folder(spark)
+    at = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(at)
+    fs, p = path_of(spark, folder)
+    fs.deleteOnExit(p)
     out = spark.read.schema(df.schema).parquet(at)
     out.cut_at = at
     return out

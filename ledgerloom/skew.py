@@ -46,11 +46,12 @@ def join_unique(rows: DataFrame, keyed: DataFrame, keys: list[str], total: int)
     return near.unionByName(rows.join(hot, keys, "left_anti").join(keyed, keys))
 
 
-def join_salted(left: DataFrame, right: DataFrame, key: str, salts: int = 32) -> DataFrame:
+def join_salted(left: DataFrame, right: DataFrame, key: str, salts: int = 32, total: int | None = None) -> DataFrame:
     """Inner join of which keys may repeat on both sides. Keys with more than a thousandth of the left rows
-    are split: each of their left rows gets one of ``salts`` parts, each of their right rows goes to all."""
+    are split: each of their left rows gets one of ``salts`` parts, each of their right rows goes to all. ``total``: about
+    how many left rows there are, if known."""
     counts = left.groupBy(key).agg(F.count("*").alias("_n"))
-    total = left.count()
+    total = left.count() if total is None else total
     if total <= HOT_ROWS:
         return left.join(right, key)
     floor = max(total // HOT_PARTS, HOT_ROWS)
