@@ -791,13 +791,25 @@ def pipeline_run(spark: SparkSession, d: str) -> DataFrame:
 _RECORDS = """landed AS (SELECT _key, TRY_CAST(payload AS JSON) AS j FROM procore_budget_detail_row WHERE payload IS NOT NULL),
 plain AS (SELECT _key, CASE WHEN json_type(j) = 'VARCHAR' THEN TRY_CAST(j ->> '$' AS JSON) ELSE j END AS j FROM landed WHERE j IS NOT NULL),
 opened AS (SELECT _key, CASE WHEN json_type(j) = 'OBJECT' AND json_type(j -> 'id') IS NULL THEN coalesce(j -> 'data', j -> 'items', j) ELSE j END AS j FROM plain WHERE j IS NOT NULL),
-record AS (SELECT _key, unnest(CASE WHEN json_type(j) = 'ARRAY' THEN json_extract(j, '$[*]') ELSE [j] END) AS r FROM opened)"""
+listed AS (SELECT _key, CASE WHEN json_type(j) = 'ARRAY' THEN json_extract(j, '$[*]') ELSE [j] END AS l FROM opened),
+record AS (SELECT _key, unnest(l) AS r, unnest(range(len(l))) AS record_at FROM listed)"""
 
 
 def _each(x: str) -> str:
     return f"unnest(CASE json_type({x}) WHEN 'ARRAY' THEN json_extract({x}, '$[*]') WHEN 'OBJECT' THEN [{x}] ELSE [] END)"
 
 
+def _rows_of(x: str) -> str:
+    """Records with the objects of a member and their positions, be it one object or a list of them."""
+    inner = f"CASE json_type({x}) WHEN 'ARRAY' THEN json_extract({x}, '$[*]') WHEN 'OBJECT' THEN [{x}] ELSE [] END"
+    return f"(SELECT *, unnest({inner}) AS x, CAST(unnest(range(len({inner}))) AS INT) AS ordinal FROM record)"
+
+
+def _member(x: str, name: str, kind: str) -> str:
+    text = f"""CASE WHEN json_type(json_extract({x}, '$."{name}"')) NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN json_extract_string({x}, '$."{name}"') END"""
+    return f"TRY_CAST({text} AS {kind}) AS {name.lower().replace(' ', '_')}"
+
+
 def _sql_id(x: str) -> str:
     return f"nullif(regexp_replace(trim({x} ->> 'id'), '^([0-9]+)[.]0*$', '\\1'), '')"
 
@@ -820,19 +832,30 @@ def _flat(spark: SparkSession, d: str) -> DataFrame:
     return nested.flatten(table(spark, d, "procore_budget_detail_row"), "_key", "payload")
 
 
-@query()
+_BUDGET = {"project_id": "string", "cost_code": "string", "category": "string", "original_budget_amount": "double", "Revised Budget": "double"}
+_FORECAST = {"amount": "double", "manual_amount": "double", "automatic_amount": "double", "notes": "string"}
+_SEGMENT = {"code": "string", "name": "string", "is_parent": "boolean"}
+_SQL_TYPES = {"string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+def _flat_sql(x: str, rows: str, keys: str, members: dict[str, str]) -> str:
+    cols = ", ".join(_member(x, n, _SQL_TYPES[t]) for n, t in members.items())
+    return f"WITH {_RECORDS} SELECT _key AS record_key, record_at, {keys}, {_sql_id(x)} AS id, {cols} FROM {rows} WHERE json_type({x}) = 'OBJECT'"
+
+
+@query(_flat_sql("r", "record", "'' AS row_key, CAST(NULL AS VARCHAR) AS parent_key, CAST(0 AS INT) AS ordinal", _BUDGET))
 def p3_budget_rows(spark: SparkSession, d: str) -> DataFrame:
-    return nested.table_of(_flat(spark, d), "", {"project_id": "string", "cost_code": "string", "category": "string", "original_budget_amount": "double", "Revised Budget": "double"})
+    return nested.table_of(_flat(spark, d), "", _BUDGET)
 
 
-@query()
+@query(_flat_sql("x", _rows_of("r -> 'budget_forecast'"), "CAST(ordinal AS VARCHAR) AS row_key, '' AS parent_key, ordinal", _FORECAST))
 def p3_forecasts(spark: SparkSession, d: str) -> DataFrame:
-    return nested.table_of(_flat(spark, d), "budget_forecast", {"amount": "double", "manual_amount": "double", "automatic_amount": "double", "notes": "string"})
+    return nested.table_of(_flat(spark, d), "budget_forecast", _FORECAST)
 
 
-@query()
+@query(_flat_sql("x", _rows_of("r -> 'wbs_code' -> 'segment_items'"), "'0.' || ordinal AS row_key, '0' AS parent_key, ordinal", _SEGMENT))
 def p3_segment_items(spark: SparkSession, d: str) -> DataFrame:
-    return nested.table_of(_flat(spark, d), "wbs_code.segment_items", {"code": "string", "name": "string", "is_parent": "boolean"})
+    return nested.table_of(_flat(spark, d), "wbs_code.segment_items", _SEGMENT)
 
 
 @query()
@@ -850,6 +873,11 @@ def _profiles(spark: SparkSession, d: str) -> list[profile.Profile]:
     return profile.load_profiles(table(spark, d, "dim_project"), table(spark, d, "dl_dq_results"))
 
 
+@query("SELECT 'procore_budget_detail_row' AS source_table, CASE WHEN nullif(trim(payload), '') IS NULL THEN 'no payload' ELSE 'not JSON' END AS reason, count(*) AS n FROM procore_budget_detail_row WHERE nullif(trim(payload), '') IS NULL OR TRY_CAST(payload AS JSON) IS NULL GROUP BY 1, 2")
+def p3_reject_counts(spark: SparkSession, d: str) -> DataFrame:
+    return p3_rejects(spark, d).groupBy("source_table", "reason").agg(F.count("*").alias("n"))
+
+
 @query()
 def p3_rejects(spark: SparkSession, d: str) -> DataFrame:
     return nested.unreadable(table(spark, d, "procore_budget_detail_row"), "_key", "payload", "procore_budget_detail_row")
