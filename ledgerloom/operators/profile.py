@@ -25,7 +25,7 @@ from __future__ import annotations
 from functools import cached_property, reduce
 from math import pi
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -233,23 +233,21 @@ class Profile:
         lie far outside what the table's other loads show."""
         m = cut(self.measures().withColumn("net", F.col("value") - F.col("chance")))  # a few rows for each load and column
         key = ["table_name", "column_name", "measure"]
-        middle = m.groupBy(*key).agg(F.percentile_approx("net", 0.5, 1000).alias("usual"), F.count("*").alias("loads"), F.sum("n").alias("whole"))
-        near = m.join(middle, key).withColumn("off", F.abs(F.col("net") - F.col("usual"))).withColumn("usual", F.col("usual") + F.col("chance"))
+        # one row for each load: all that follows is one partitioning by column and measure
+        loads = Window.partitionBy(*key)
+        near = m.withColumns({"usual": F.percentile_approx("net", 0.5, 1000).over(loads), "loads": F.count("*").over(loads), "whole": F.sum("n").over(loads), "both": F.sum("value").over(loads)})
+        near = near.withColumn("off", F.abs(F.col("net") - F.col("usual"))).withColumn("usual", F.col("usual") + F.col("chance"))
         # of two loads, each is judged by the other; both lie as far from each other as chance has it
-        pair = near.groupBy(*key).agg(F.sum("value").alias("both"))
-        near = near.join(pair, key)
         apart = F.col("measure").endswith("distribution")
         usual = F.when(F.col("loads") > 2, F.col("usual")).when(apart, F.col("chance")).otherwise(F.col("both") - F.col("value"))
         near = near.withColumn("usual", usual).withColumn("off", F.when(F.col("loads") > 2, F.col("off")).otherwise(F.abs(F.col("value") - usual)))
-        spread = near.groupBy(*key).agg(F.when(F.first("loads") > 2, F.percentile_approx("off", 0.5, 1000)).otherwise(0.0).alias("spread"))
-        near = near.join(spread, key)
+        near = near.withColumn("spread", F.when(F.col("loads") > 2, F.percentile_approx("off", 0.5, 1000).over(loads)).otherwise(0.0))
         # how far least and greatest lie beyond those of all other loads
         out = F.when(F.col("measure") == "least", -F.col("value")).when(F.col("measure") == "greatest", F.col("value"))
-        first = near.withColumn("out", out).groupBy(*key).agg(F.max(F.struct("out", "batch_id")).alias("first"))
-        second = near.withColumn("out", out).join(first, key).filter("batch_id != first.batch_id").groupBy(*key).agg(F.max("out").alias("second"))
-        near = near.join(first, key).join(second, key, "left")
+        near = near.withColumn("out", out).withColumn("first", F.max(F.struct("out", "batch_id")).over(loads))
+        near = near.withColumn("second", F.max(F.when(F.col("batch_id") != F.col("first.batch_id"), F.col("out"))).over(loads))
         others = F.when(F.col("batch_id") == F.col("first.batch_id"), F.col("second")).otherwise(F.col("first.out"))
-        near = near.withColumn("off", F.when(out.isNotNull(), out - others).otherwise(F.col("off")))
+        near = near.withColumn("off", F.when(F.col("out").isNotNull(), F.col("out") - others).otherwise(F.col("off")))
         # for shares never more than what tells the load's own values from a draw of the usual share
         least = 1 / (F.col("whole") + 2)
         u = F.greatest(least, F.least(1 - least, F.col("usual")))
