@@ -30,7 +30,7 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.runtime import cut
@@ -41,11 +41,8 @@ from ledgerloom.skew import join_counted, join_salted, join_unique
 COMMON_SHARE, COMMON_TITLES = 0.005, 4
 #: A short form stands for words that this share of its labelled titles lack; without likeness in letters, that stricter share.
 SHORT_SURE, SHORT_BLIND = 0.5, 0.9
-#: A short form occurs in this share of the titles it is learned from, at least.
-SHORT_SHARE = 0.0005
-#: Short forms are learned from titles of no more words than this, and they are learned and rules are
-#: judged on about so many titles, taken by hash.
-LABELLED_WORDS, LABELLED_TITLES = 40, 200_000
+#: Short forms are learned from titles of no more words than this.
+LABELLED_WORDS = 40
 #: Letters that a misspelt word, and letters and digits that a misspelt number, must have.
 NEAR_WORD, NEAR_NUMBER = 4, 6
 
@@ -123,16 +120,15 @@ def common_words(targets: DataFrame) -> dict[str, int]:
     return {r.w: r.n for r in each.filter(F.col("n") >= least).collect()}
 
 
-def meant(rows: DataFrame, common: dict[str, int], shorts: dict[str, str]) -> DataFrame:
+def meant(rows: DataFrame, no: str, common: dict[str, int], shorts: DataFrame, total: int) -> DataFrame:
     """Adds common (sorted) and rare: the words with short forms spelled out, and rarest, the commonly
-    known word that the fewest target titles hold."""
-    known, short = _literal(common, "int"), _literal(shorts, "string")
-    out = F.array_distinct(
-        F.flatten(
-            F.transform(F.col("words"), lambda w: F.when(F.try_element_at(known, w).isNull() & F.try_element_at(short, w).isNotNull(), F.split(F.try_element_at(short, w), " ")).otherwise(F.array(w)))
-        )
-    )
-    rows = rows.withColumn("words", out)
+    known word that the fewest target titles hold. no numbers the rows."""
+    known = _literal(common, "int")
+    held = rows.select(no, F.explode(F.filter("words", lambda w: ~w.isin(*common))).alias("s"))
+    held = join_unique(held, shorts, ["s"], 2 * total).groupBy(no).agg(F.map_from_entries(F.collect_list(F.struct("s", "w"))).alias("_short"))
+    rows = rows.join(held, no, "left")
+    spelt = F.transform("words", lambda w: F.coalesce(F.split(F.try_element_at("_short", w), " "), F.array(w)))
+    rows = rows.withColumn("words", F.array_distinct(F.flatten(spelt))).drop("_short")
     rows = rows.withColumn("common", F.array_sort(F.filter("words", lambda w: F.try_element_at(known, w).isNotNull())))
     rows = rows.withColumn("rare", F.filter("words", lambda w: F.try_element_at(known, w).isNull() & (F.length(w) >= 3)))
     least = F.array_min(F.transform("common", lambda w: F.struct(F.try_element_at(known, w).alias("n"), w.alias("w"))))
@@ -213,39 +209,33 @@ def by_rare_word(titles: DataFrame, targets: DataFrame, common: dict[str, int],
     return _one_each(join_unique(titles.select("no", rare), keyed, ["h"], total), -F.length("h"))
 
 
-def learn_shorts(pairs: DataFrame, common: dict[str, int], total: int) -> dict[str, str]:
-    """Short forms, by what they stand for (words joined by blanks), of pairs that share a number or a word of one target.
-
-    Counts of (word that only the record has, words that only the target has) come back, those that
-    enough pairs hold: at most some twenty thousand.
-    """
+def learn_shorts(pairs: DataFrame, common: dict[str, int]) -> DataFrame:
+    """(s, w): short forms and what they stand for (common words joined by blanks), of all pairs that share a
+    number or a word of one target. How many other pairs there are makes no difference."""
     pairs = pairs.filter(F.size("words") <= LABELLED_WORDS)
-    own, lost = F.array_except("words", "t_words"), F.array_except("t_words", "words")
+    own = F.filter(F.array_except("words", "t_words"), lambda w: ~w.isin(*common))
+    lost = F.filter(F.array_except("t_words", "words"), lambda w: w.isin(*common))
     runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("t_words"), F.lit(1))), lambda i: F.transform(F.array(F.lit(2), F.lit(3)), lambda n: F.slice("t_words", i, n)))
-    runs = F.filter(F.flatten(runs), lambda r: (F.size(r) >= 2) & (F.size(F.array_except(r, lost)) == 0))
-    stand = F.concat(F.array(F.lit("")), lost, F.transform(F.array_distinct(runs), lambda r: F.array_join(r, " ")))
-    each = pairs.select(own.alias("own"), F.array_distinct(stand).alias("stand")).select("stand", F.explode("own").alias("s")).select("s", F.explode("stand").alias("w"))
-    counts = each.groupBy("s", "w").agg(F.count("*").alias("n")).filter(F.col("n") >= max(1, total * SHORT_SHARE)).collect()
-    held = {r.s: r.n for r in counts if r.w == ""}
-    best: dict[str, tuple] = {}
-    for r in counts:
-        words = r.w.split()
-        if not words or r.s in common or r.s not in held or not all(w in common for w in words):
-            continue
-        like = _made_of(r.s, words)
-        if r.n >= (SHORT_SURE if like else SHORT_BLIND) * held[r.s] and (like or r.n >= 4 and len(words) == 1):
-            # most titles first, then likeness, then the more words that the same initials explain
-            rank = (like, r.n, len(words), [-ord(c) for c in r.w])
-            best[r.s] = max(best.get(r.s, ()), (*rank, r.w)) if r.s in best else (*rank, r.w)
-    return {s: b[-1] for s, b in best.items()}
-
-
-def _made_of(short: str, words: list[str]) -> bool:
+    runs = F.filter(F.flatten(runs), lambda r: (F.size(r) >= 2) & (F.size(F.array_except(r, "lost")) == 0))
+    stand = F.concat(F.array(F.lit("")), "lost", F.transform(F.array_distinct(runs), lambda r: F.array_join(r, " ")))
+    each = pairs.select("t_words", own.alias("own"), lost.alias("lost")).select("own", F.array_distinct(stand).alias("stand"))
+    each = each.select("stand", F.explode("own").alias("s")).select("s", F.explode("stand").alias("w"))
+    held = F.max(F.when(F.col("w") == "", F.col("n"))).over(Window.partitionBy("s"))
+    counts = each.groupBy("s", "w").agg(F.count("*").alias("n")).withColumn("held", held).filter((F.col("w") != "") & (F.col("n") >= SHORT_SURE * F.col("held")))
+    size = F.size(F.split("w", " "))
+    counts = counts.withColumn("like", _made_of(F.col("s"), F.col("w")))
+    counts = counts.filter(F.col("like") | ((size == 1) & (F.col("n") >= 4) & (F.col("n") >= SHORT_BLIND * F.col("held"))))
+    # likeness first, then most titles, then the more words that the same initials explain
+    rank = F.struct("like", "n", size.alias("size"), F.transform(F.split("w", ""), lambda c: -F.ascii(c)).alias("order"), "w")
+    return counts.groupBy("s").agg(F.max(rank)["w"].alias("w"))
+
+
+def _made_of(short: Column, stand: Column) -> Column:
     """Whether a short form is the words' initials, or one word's first letter and others of its letters in order."""
-    if len(words) > 1:
-        return short == "".join(w[0] for w in words)
-    rest = iter(words[0])
-    return short[0] == words[0][0] and len(short) < len(words[0]) and all(c in rest for c in short)
+    initials = F.array_join(F.transform(F.split(stand, " "), lambda w: F.substring(w, 1, 1)), "")
+    step = F.transform(F.split(short, ""), lambda c, i: F.when(i == 0, F.concat(F.lit("^"), c)).otherwise(F.concat(F.lit("[^"), c, F.lit("]*+"), c)))
+    one = (F.length(short) < F.length(stand)) & F.rlike(stand, F.array_join(step, ""))
+    return F.when(F.contains(stand, F.lit(" ")), short == initials).otherwise(one)
 
 
 def _key(word: str, rest: Column) -> Column:
@@ -312,18 +302,15 @@ def match_entities(records: DataFrame, targets: DataFrame, labels: DataFrame | N
 
     # rule 1, the number
     pairs = cut(by_number(titles, named, total))
-    some = F.xxhash64("title") % max(1, total // LABELLED_TITLES) == 0  # a share of the titles, by hash
-    sample = titles.filter(some)
-    alike = pairs.unionByName(by_rare_word(sample.join(pairs, "no", "left_anti"), named, common, total))
-    alike = sample.select("no", "words").join(alike, "no").join(named.select("t_no", F.col("words").alias("t_words")), "t_no")
-    shorts = learn_shorts(alike, common, min(total, LABELLED_TITLES))
-    every = cut(meant(titles, common, shorts).join(pairs.withColumnRenamed("t_no", "hidden"), "no", "left"))
-    t = meant(named, common, shorts).withColumnsRenamed({"common": "t_common", "rare": "t_rare"}).withColumn("t_code", F.get("codes", F.lit(0)))
+    alike = pairs.unionByName(by_rare_word(titles.join(pairs, "no", "left_anti"), named, common, total))
+    alike = titles.select("no", "words").join(alike, "no").join(named.select("t_no", F.col("words").alias("t_words")), "t_no")
+    shorts = cut(learn_shorts(alike, common))
+    every = cut(meant(titles, "no", common, shorts, total).join(pairs.withColumnRenamed("t_no", "hidden"), "no", "left"))
+    t = meant(named, "t_no", common, shorts, total).withColumnsRenamed({"common": "t_common", "rare": "t_rare"}).withColumn("t_code", F.get("codes", F.lit(0)))
     t = cut(t.select("t_no", "t_id", "lo", "hi", "t_code", "phase", "t_common", "t_rare", "rarest"))
     # weaker rules, each on what the one before left over
-    pool = every.filter(F.col("hidden").isNull() | some)
-    title = cut(by_title(pool, t, total))
-    pool = pool.join(title, "no", "left_anti")
+    title = cut(by_title(every, t, total))
+    pool = every.join(title, "no", "left_anti")
     near = cut(by_near_title(pool, t, total))
     pool = pool.join(near, "no", "left_anti")
     digits = cut(by_near_number(pool, t, total))

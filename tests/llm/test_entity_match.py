@@ -58,6 +58,18 @@ def test_no_vocabulary_or_number_format_is_built_in(spark):
     assert {b: a for a, b in got} == {"a": "1", "b": "2", "c": "3", "d": "4"} and got[("1", "a")][0] == "number_and_title" and got[("2", "b")][0] == "number"
 
 
+def test_titles_that_match_nothing_change_nothing(spark, monkeypatch):
+    """However many titles there are, all are learned from and judged: there once was a sample of LABELLED_TITLES and a
+    least share of them for a short form."""
+    w = _world(60)
+    jobs = [(f"n{i}", f"{n} {_short(t)}", None, True, True) for i, t, n in w[:20]] + [(f"s{i}", _short(t), None, True, True) for i, t, _ in w[20:]]
+    monkeypatch.setattr(em, "LABELLED_TITLES", 10, raising=False)
+    few = _match(spark, w, jobs)
+    letters = str.maketrans("0123456789", "qxzjkwvyhg")
+    more = [(f"z{i}", "Qz" + str(10**6 + i * 7919).translate(letters), None, True, True) for i in range(40_000)]
+    assert {j for _, j in few} == {j for j, *_ in jobs} and _match(spark, w, [*jobs, *more]) == few
+
+
 def test_ambiguous_keys_resolve_nothing(spark):
     twice = [("1", "Varolton Grove Hotel Addition", None), ("2", "Varolton Grove Hotel Addition", None)]
     assert _match(spark, twice, [("a", "Varolton Grove Hotel Addition", None, True, True)]) == {}
