@@ -6,8 +6,8 @@ step before left with several members: stripped length and letter histogram spli
 into classes, classes with several texts are collapsed to forms, and only classes with several forms
 get the costlier keys (sorted words, joined words, words with one neighbouring pair joined), along
 which sameness is carried over until nothing changes; classes that stay split also get the keys of
-all ways to join neighbouring words. Names of more than MANY_WORDS words don't get these: of them, two
-that differ by several joins and by order as well are still not linked.
+all ways to join neighbouring words. Names of more than MANY_WORDS words have too many ways; in the
+classes that stay split they are held against each other name by ``joined_alike``, with the same outcome.
 
 Defined results: null texts, and texts without a letter or digit, are copies of nothing; an id that
 occurs in several rows is one id, and if its texts differ it ties their classes together; an empty
@@ -16,13 +16,17 @@ table gives an empty result; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+from collections import Counter, defaultdict
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerloom.runtime import cut, forget
 from ledgerloom.skew import join_counted, join_unique
 
-#: Most words of a name all of whose ways to join neighbours are tried (they double with each word).
+#: Most words of a name all of whose ways to join neighbours become keys (they double with each word); longer ones are compared.
 MANY_WORDS = 14
 
 
@@ -83,6 +87,94 @@ def _all_joined(words: Column) -> Column:
     return F.when(F.size(words).between(1, MANY_WORDS), F.array_distinct(F.transform(ways, _sorted))).otherwise(F.array().cast("array<string>"))
 
 
+def _same_runs(a: tuple[str, ...], b: tuple[str, ...]) -> tuple[set, set]:
+    """Runs (start, end, letters) of words of a and of b that spell the same and have no boundary inside in
+    common: from each two words on there is one at most. If a and b have a form in common, they have one
+    of such runs alone, for any others fall apart at the common boundaries."""
+    at, mine, other = defaultdict(list), set(), set()
+    for k, w in enumerate(b):
+        at[w[0]].append(k)
+    for i in range(len(a)):
+        for k in at[a[i][0]]:
+            x, y, j, m = a[i], b[k], i + 1, k + 1
+            while len(x) != len(y):
+                if len(x) < len(y) and j < len(a) and y.startswith(x):
+                    x, j = x + a[j], j + 1
+                elif len(x) > len(y) and m < len(b) and x.startswith(y):
+                    y, m = y + b[m], m + 1
+                else:
+                    break
+            if x == y:
+                mine.add((i, j, x))
+                other.add((k, m, x))
+    return mine, other
+
+
+def _fillings(runs: list, most: Counter) -> set[tuple]:
+    """All sorted lists of letters of runs that fill their places without overlap, each no oftener than ``most``."""
+    at, starts = sorted({p for i, j, _ in runs for p in range(i, j)}), defaultdict(list)
+    for i, j, x in runs:
+        starts[i].append((bisect_left(at, j), x))
+    ways = [set() for _ in range(len(at) + 1)]
+    ways[0].add(())
+    for n, i in enumerate(at):
+        for way in ways[n]:
+            for after, x in starts[i]:
+                if way.count(x) < most[x]:
+                    longer = list(way)
+                    insort(longer, x)
+                    ways[after].add(tuple(longer))
+        ways[n] = None
+    return ways[-1]
+
+
+def joined_alike(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
+    """Whether words of a and of b, neighbours written together in any number of places, are the same but for order.
+
+    The names fall into parts that have neither words nor letters of runs in common, mostly single words; ways
+    are tried inside a part only, and equal lists of runs once."""
+    mine, other = _same_runs(a, b)
+    if len({p for i, j, _ in mine for p in range(i, j)}) < len(a) or len({p for k, m, _ in other for p in range(k, m)}) < len(b):
+        return False
+    above: dict = {}
+
+    def top(x):
+        while above.setdefault(x, x) != x:
+            above[x] = x = above[above[x]]
+        return x
+
+    for side, runs in enumerate((mine, other)):
+        for i, j, x in runs:
+            for p in range(i, j):
+                above[top((side, p))] = top(x)
+    parts = defaultdict(lambda: ([], []))
+    for side, runs in enumerate((mine, other)):
+        for run in runs:
+            parts[top(run[2])][side].append(run)
+    count = lambda runs: Counter(x for *_, x in runs)
+    return all(_fillings(m, count(o)) & _fillings(o, count(m)) for m, o in parts.values())
+
+
+def _long_alike(names: pd.DataFrame) -> pd.DataFrame:
+    """(node, key) of the names of one class, labelled apart, that are joined alike; one of two has more than MANY_WORDS words."""
+    rows = sorted({(r.label, r.node, tuple(r.words)) for r in names.itertuples()}, key=lambda r: -len(r[2]))
+    above, out = {r[0]: r[0] for r in rows}, []
+
+    def top(x):
+        while above[x] != x:
+            above[x] = x = above[above[x]]
+        return x
+
+    for n, (label, node, words) in enumerate(rows):
+        if len(words) <= MANY_WORDS:
+            break
+        for other, node_b, words_b in rows[n + 1 :]:
+            if top(label) != top(other) and joined_alike(words, words_b):
+                above[top(label)] = top(other)
+                out += [(node, f"p:{node}:{node_b}"), (node_b, f"p:{node}:{node_b}")]
+    return pd.DataFrame(out, columns=["node", "key"], dtype="object")
+
+
 def carry_over(edges: DataFrame, rounds: list[int] | None = None) -> DataFrame:
     """(node, label): the smallest node in each component of a (node, key) bipartite graph.
 
@@ -151,11 +243,17 @@ def classed(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     labels = carry_over(edges)
     # refinement 4: classes of equal letters that stay split, all ways to join neighbouring words
     left = spelt.join(labels, "node")
-    split = left.groupBy(*shape).agg((F.min("label") != F.max("label")).alias("split")).filter("split").select(*shape)
-    ways = F.array_distinct(F.concat(_all_joined(F.col("tight_words")), _all_joined(F.col("loose_words"))))
-    more = spelt.join(split, shape, "left_semi").select("node", F.explode(F.transform(ways, lambda w: F.concat(F.lit("w:"), w))).alias("key"))
-    more = cut(more.distinct())
-    if more.limit(1).count():
+    words = F.max(F.greatest(F.size("tight_words"), F.size("loose_words"))).alias("words")
+    split = left.groupBy(*shape).agg((F.min("label") != F.max("label")).alias("split"), words).filter("split").drop("split")
+    split = cut(split)
+    some, long = split.agg(F.count("*"), F.count_if(F.col("words") > MANY_WORDS)).first()
+    if some:
+        ways = F.array_distinct(F.concat(_all_joined(F.col("tight_words")), _all_joined(F.col("loose_words"))))
+        more = spelt.join(split, shape, "left_semi").select("node", F.explode(F.transform(ways, lambda w: F.concat(F.lit("w:"), w))).alias("key"))
+        if long:
+            far = left.join(split.filter(F.col("words") > MANY_WORDS), shape, "left_semi")
+            far = far.select("node", "label", *shape, F.explode(F.array_distinct(F.array("tight_words", "loose_words"))).alias("words"))
+            more = more.unionByName(far.groupBy(*shape).applyInPandas(_long_alike, "node string, key string"))
         labels = carry_over(edges.unionByName(more))
     of = forms.select("text", "node").join(labels, "node", "left").select("text", F.coalesce("label", "node").alias("label"))
     of = texts.join(of, "text", "left").withColumn("label", F.coalesce("label", F.concat(F.lit("t:"), "text")))

@@ -4,7 +4,7 @@ import re
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from ledgerloom.llm.form_copies import carry_over, collapse_copies, vendor_records
+from ledgerloom.llm.form_copies import carry_over, collapse_copies, joined_alike, vendor_records
 
 SCHEMA = "id string, text string, node string"
 
@@ -70,6 +70,29 @@ def test_several_joined_pairs_and_another_order(spark):
     assert _mine(spark, rows) == {"1": "1", "2": "1", "3": "3", "4": "4", "5": "4", "6": "6"}
 
 
+def test_names_of_any_number_of_words(spark):
+    w = "alder birch cedar dogwood elm fir ginkgo hazel iris juniper kapok larch maple nutmeg oak pine quince rowan".split()
+    more = [f"{x}{y}" for x in w for y in "xyz"]
+    rows = [
+        ("1", " ".join(w)), ("2", " ".join([*w[9:], w[0] + w[1], w[2] + w[3] + w[4], *w[5:9]])), ("3", "-".join([w[1] + w[0], *w[2:16], w[17] + w[16]])),
+        ("4", "".join(w[:6]) + " " + "".join(w[12:]) + ", " + "".join(w[6:12])),  # three words of eighteen
+        ("5", " ".join(more)), ("6", " ".join([*more[30:], *(a + b for a, b in zip(more[:30:2], more[1:30:2], strict=True))])), ("7", " ".join(["la"] * 40 + ["lala"] * 9)), ("8", " ".join(["lalala"] * 6 + ["la"] * 40)),
+    ]
+    assert _mine(spark, rows) == {"1": "1", "2": "1", "3": "3", "4": "1", "5": "5", "6": "5", "7": "7", "8": "7"}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.data(), st.lists(st.sampled_from(["a", "b", "ab", "ba", "aab", "c"]), min_size=1, max_size=7))
+def test_joined_alike_against_all_ways(data, a):
+    def ways(words):
+        cuts = itertools.product((" ", ""), repeat=len(words) - 1)
+        return {" ".join(sorted("".join(x for p in zip(words, (*c, ""), strict=True) for x in p).split())) for c in cuts}
+
+    b = data.draw(st.permutations(a))
+    b = "".join(x for w in b for x in (w, data.draw(st.sampled_from((" ", ""))))).split()
+    assert joined_alike(tuple(a), tuple(b)) == bool(ways(a) & ways(b))
+
+
 def test_rounds_grow_with_the_logarithm_of_a_chain(spark):
     took = {}
     for n in (8, 64, 512):
